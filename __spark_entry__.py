@@ -163,22 +163,23 @@ def category_full_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def session_category_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    counts = categories.session_category_counts(retail.actions(spark, sf_dir))
-    return categories.keep_sessions(counts, _kept(spark, sf_dir))
+    rows = sessions.filtered_actions(retail.actions(spark, sf_dir), _kept(spark, sf_dir))
+    return categories.session_category_counts(rows)
 
 
-def _top_categories(counts: DataFrame) -> DataFrame:
-    return categories.top_categories(categories.totals(counts))
+def _top_categories(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = sessions.filtered_actions(retail.actions(spark, sf_dir), _kept(spark, sf_dir))
+    return categories.top_categories(categories.category_full_counts(rows))
 
 
 def top10_category(spark: SparkSession, sf_dir: str) -> DataFrame:
-    top = _top_categories(session_category_counts(spark, sf_dir))
-    return categories.top_category_report(top, TASK)
+    return categories.top_category_report(_top_categories(spark, sf_dir), TASK)
 
 
 def category_session_clicks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    counts = session_category_counts(spark, sf_dir)
-    return categories.category_session_clicks(counts, _top_categories(counts))
+    return categories.category_session_clicks(
+        retail.actions(spark, sf_dir), _top_categories(spark, sf_dir), _kept(spark, sf_dir)
+    )
 
 
 def top10_session(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -45,30 +45,18 @@ def _counted(touches: DataFrame, *keys: str) -> DataFrame:
 
 
 def category_full_counts(actions: DataFrame) -> DataFrame:
-    """Clicks, orders and payments of every category touched in any of the three ways."""
+    """Clicks, orders and payments of every category touched in any of the three ways.
+
+    Combined before the shuffle, so a category that holds most rows is one row per task.
+    """
     return _counted(_category_touches(actions), "category_id")
 
 
 def session_category_counts(actions: DataFrame) -> DataFrame:
-    """The same counts per session and category.
-
-    Shared by both top-10 reports. It is built before the session filter, so that the filter
-    joins counts and not actions: a session of any length has one row per category by then.
-    """
+    """The same counts per session and category."""
     return _counted(_category_touches(actions, "session_id"), "session_id", "category_id")
 
 
-def keep_sessions(session_counts: DataFrame, kept: DataFrame) -> DataFrame:
-    return session_counts.join(kept.select("session_id"), "session_id", "left_semi")
-
-
-def totals(session_counts: DataFrame) -> DataFrame:
-    """Counts per category, from counts per session and category."""
-    return session_counts.groupBy("category_id").agg(
-        *[F.sum(c).alias(c) for c in ("click_count", "order_count", "pay_count")]
-    )
-
-
 def top_categories(counts: DataFrame, n: int = 10) -> DataFrame:
     """The `n` categories with most clicks, then orders, then payments; ties by smaller id."""
     return counts.orderBy(
@@ -76,12 +64,26 @@ def top_categories(counts: DataFrame, n: int = 10) -> DataFrame:
     ).limit(n)
 
 
-def category_session_clicks(session_counts: DataFrame, top: DataFrame) -> DataFrame:
-    """Clicks of each session in each top category. `top` has n rows, so it is broadcast."""
-    return (
-        session_counts.where(F.col("click_count") > 0)
+def category_session_clicks(
+    actions: DataFrame, top: DataFrame, kept: DataFrame | None = None
+) -> DataFrame:
+    """Clicks of each (kept) session in each top category.
+
+    `top` has n rows, so it is broadcast and cuts the scan to clicks in n categories. These are
+    counted per session before the filter on sessions: the join sees one row per session and
+    category, however long the session is.
+    """
+    counted = (
+        actions.where(F.col("click_category_id") != NO_CLICK)
+        .select("session_id", F.col("click_category_id").alias("category_id"))
         .join(F.broadcast(top.select("category_id")), "category_id", "left_semi")
-        .select("category_id", "session_id", "click_count")
+        .groupBy("category_id", "session_id")
+        .agg(F.count(F.lit(1)).alias("click_count"))
+    )
+    if kept is None:
+        return counted
+    return counted.join(kept.select("session_id"), "session_id", "left_semi").select(
+        "category_id", "session_id", "click_count"
     )
 
 

@@ -46,12 +46,15 @@ def page_pair_counts(
         with_action_ts(actions), "session_id", "page_id", ["action_ts", *tie_breakers],
         "action_ts", slice_seconds,
     )
-    return (
-        pairs.select(F.concat_ws("_", "page_id", "next_value").alias("page_pair"))
-        .where(F.col("page_pair").isin(wanted))
-        .groupBy("page_pair")
+    counted = (
+        pairs.where(F.col("page_id").isin(pages[:-1]) & F.col("next_value").isin(pages[1:]))
+        .groupBy("page_id", "next_value")
         .agg(F.count(F.lit(1)).alias("pair_count"))
     )
+    pair = F.concat_ws("_", "page_id", "next_value")
+    return counted.select(pair.alias("page_pair"), "pair_count").where(
+        F.col("page_pair").isin(wanted)
+    )
 
 
 def start_page_views(actions: DataFrame, flow: Flow) -> DataFrame:

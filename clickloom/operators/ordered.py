@@ -40,14 +40,13 @@ def successor_pairs(
     inside = Window.partitionBy(group, "_slice").orderBy(*order)
     seen = sliced.select(
         "*",
-        F.lead(F.struct(value)).over(inside).alias("_next"),
+        F.lead(value).over(inside).alias("next_value"),
+        F.lead(F.lit(True)).over(inside).isNull().alias("_last"),
         (F.row_number().over(inside) == 1).alias("_first"),
     )
-    pairs = seen.where(F.col("_next").isNotNull()).select(
-        value, F.col(f"_next.{value}").alias("next_value")
-    )
+    pairs = seen.where(~F.col("_last")).select(value, "next_value")
 
-    edges = seen.where(F.col("_first") | F.col("_next").isNull())
+    edges = seen.where(F.col("_first") | F.col("_last"))
     across = Window.partitionBy(group).orderBy("_slice", *order)
     bridges = (
         edges.select(

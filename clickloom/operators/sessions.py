@@ -173,7 +173,11 @@ def filter_sessions(full_info: DataFrame, conditions: SessionFilter) -> DataFram
 
 
 def filtered_actions(actions: DataFrame, kept: DataFrame) -> DataFrame:
-    """Actions of the kept sessions."""
+    """Actions of the kept sessions.
+
+    A semi join: adaptive execution may split the partition of a session that holds most
+    actions, since only the other side has to be whole.
+    """
     return actions.join(kept.select("session_id"), "session_id", "left_semi")
 
 

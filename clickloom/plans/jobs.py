@@ -19,22 +19,22 @@ Results = dict[str, DataFrame]
 class SessionJob:
     """Session shares, session sample, top categories and their most active sessions.
 
-    `kept` and `counts` feed several results. `persist` keeps them for the writes; lost parts
-    are computed again, so an executor may go away.
+    `kept`, one row per session, and `top`, one row per top category, feed several results.
+    `persist` keeps them for the writes; parts lost with an executor are computed again.
     """
 
     kept: DataFrame
-    counts: DataFrame
+    top: DataFrame
     results: Results
 
     def persist(self) -> SessionJob:
         self.kept.persist()
-        self.counts.persist()
+        self.top.persist()
         return self
 
     def unpersist(self) -> None:
         self.kept.unpersist()
-        self.counts.unpersist()
+        self.top.unpersist()
 
 
 def session_job(
@@ -46,17 +46,17 @@ def session_job(
     conditions: sessions.SessionFilter = sessions.SessionFilter(),
     sample_total: int = 100,
     seed: str = "",
-    top: int = 10,
+    n: int = 10,
 ) -> SessionJob:
     scope = with_action_ts(actions_between(actions, start_date, end_date))
     kept = sessions.kept_sessions(scope, users, conditions)
-    counts = categories.keep_sessions(categories.session_category_counts(scope), kept)
-    best = categories.top_categories(categories.totals(counts), top)
-    active = categories.top_sessions(categories.category_session_clicks(counts, best), top)
-    return SessionJob(kept, counts, {
+    counts = categories.category_full_counts(sessions.filtered_actions(scope, kept))
+    top = categories.top_categories(counts, n)
+    active = categories.top_sessions(categories.category_session_clicks(scope, top, kept), n)
+    return SessionJob(kept, top, {
         "session_stat_ratio": sessions.session_stat_ratio(kept, task_id),
         "session_extract": sampling.session_extract(scope, kept, task_id, sample_total, seed),
-        "top10_category": categories.top_category_report(best, task_id),
+        "top10_category": categories.top_category_report(top, task_id),
         "top10_session": categories.top_session_report(active, task_id),
     })
 

@@ -268,7 +268,8 @@ _BODIES = {
     "session_hour_quotas": """
         SELECT * FROM (
             SELECT date, hour, hour_count, CAST(day_count AS BIGINT) AS day_count,
-                   CAST(hour_count * (900 // days) // day_count AS BIGINT) AS quota
+                   least(hour_count, CAST(hour_count * (900 // days) // day_count AS BIGINT))
+                       AS quota
             FROM (
                 SELECT date, hour, count(*) AS hour_count, any_value(days) AS days,
                        sum(count(*)) OVER (PARTITION BY date) AS day_count
