@@ -37,10 +37,9 @@ def packed_field(record: Column, delimiter: str, field: str) -> Column:
 
     Null when the field is missing or empty. Parts with more than one inner `=` are no fields.
     """
-    parts = F.split(record, re.escape(delimiter))
-    pairs = F.transform(parts, lambda p: F.split(F.rtrim(p, F.lit("=")), "="))
-    hits = F.filter(pairs, lambda kv: (F.size(kv) == 2) & (kv[0] == field))
-    return F.get(F.get(hits, F.lit(0)), F.lit(1))
+    d, name = re.escape(delimiter), re.escape(field)
+    part = f"(?:^|{d}){name}=((?:(?!{d})[^=])+)=*(?={d}|$)"
+    return F.nullif(F.regexp_extract(record, part, 1), F.lit(""))
 
 
 def set_packed_field(record: Column, delimiter: str, field: str, value: Column | str) -> Column:

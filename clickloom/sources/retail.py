@@ -13,12 +13,23 @@ from clickloom.functions.times import TIME_FORMAT
 from clickloom.operators.ordered import gap_sessions
 from clickloom.session import pin_utc
 
+# Columns of the tables used. With them a read opens no file for its schema.
+SCHEMAS = {
+    "events": "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, "
+              "value double, props string",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_acctbal double, "
+                "c_mktsegment string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "region": "r_regionkey int, r_name string",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string, p_size int, "
+            "p_retailprice double",
+}
 LEVELS = {"A_Level": ("AFRICA", "AMERICA"), "B_Level": ("ASIA",), "C_Level": ("EUROPE",)}
 GAP_SECONDS = 30 * 60
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return pin_utc(spark).read.parquet(f"{sf_dir}/{name}.parquet")
+    return pin_utc(spark).read.schema(SCHEMAS[name]).parquet(f"{sf_dir}/{name}.parquet")
 
 
 def events(
