@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from clickloom.functions.times import minute_key
+from clickloom.operators.joins import rows_without
 
 DEFAULT_THRESHOLD = 100
 MINUTES_PER_HOUR = 60
@@ -16,9 +17,9 @@ MINUTES_PER_HOUR = 60
 def not_blacklisted(log: DataFrame, blacklist: DataFrame) -> DataFrame:
     """Lines of users that are not on the list.
 
-    No broadcast hint: the list grows, and the planner broadcasts it by its size on disk.
+    The list grows, so it carries no broadcast hint: its size decides.
     """
-    return log.join(blacklist.select("userid"), "userid", "left_anti").select(*log.columns)
+    return rows_without(log, blacklist, "userid")
 
 
 def user_ad_clicks(log: DataFrame) -> DataFrame:

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from clickloom.functions.numbers import share
 from clickloom.functions.texts import distinct_list, is_not_empty
 from clickloom.functions.times import format_time
+from clickloom.operators.joins import rows_with
 from clickloom.sources.tables import NO_CLICK, with_action_ts
 
 # Buckets of the session report, both ends included, None for open.
@@ -173,12 +174,8 @@ def filter_sessions(full_info: DataFrame, conditions: SessionFilter) -> DataFram
 
 
 def filtered_actions(actions: DataFrame, kept: DataFrame) -> DataFrame:
-    """Actions of the kept sessions.
-
-    A semi join: adaptive execution may split the partition of a session that holds most
-    actions, since only the other side has to be whole.
-    """
-    return actions.join(kept.select("session_id"), "session_id", "left_semi")
+    """Actions of the kept sessions."""
+    return rows_with(actions, kept, "session_id")
 
 
 def _in_bucket(value: Column, low: int, high: int | None) -> Column:
