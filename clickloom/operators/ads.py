@@ -4,11 +4,12 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clickloom.functions.times import minute_key
 from clickloom.operators.joins import rows_without
+from clickloom.operators.ranks import RANK, ranked
 
 DEFAULT_THRESHOLD = 100
 MINUTES_PER_HOUR = 60
@@ -52,12 +53,8 @@ def province_top_ads(stat: DataFrame, n: int = 3) -> DataFrame:
     by_province = stat.groupBy("date", "province", "adid").agg(
         F.sum("clickCount").alias("clickCount")
     )
-    order = Window.partitionBy("date", "province").orderBy(F.desc("clickCount"), "adid")
-    return (
-        by_province.withColumn("_rank", F.row_number().over(order))
-        .where(F.col("_rank") <= n)
-        .drop("_rank")
-    )
+    order = [F.desc("clickCount"), "adid"]
+    return ranked(by_province, ["date", "province"], order, n, "adid").drop(RANK)
 
 
 def minute_parts(minute: Column) -> list[Column]:

@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clickloom.functions.texts import distinct_list, id_and_name, json_field
+from clickloom.operators.ranks import ranked
 from clickloom.sources.cities import AREA_LEVELS, area_level
 
 
@@ -58,10 +59,9 @@ def area_top_products(
     n: int = 3,
 ) -> DataFrame:
     """The `n` most-clicked products of each area; ties by smaller product id."""
-    order = Window.partitionBy("area").orderBy(F.desc("click_count"), "pid")
+    order = [F.desc("click_count"), "pid"]
     return (
-        info.withColumn("_rank", F.row_number().over(order))
-        .where(F.col("_rank") <= n)
+        ranked(info, ["area"], order, n, "pid")
         .select(
             F.lit(task_id).alias("taskid"),
             "area",

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clickloom.functions.texts import id_list
+from clickloom.operators.ranks import RANK, broadcast_up_to, ranked
 from clickloom.sources.tables import NO_CLICK
 
 
@@ -17,6 +18,11 @@ def _category_touches(actions: DataFrame, *keep: str) -> DataFrame:
     def tagged(ids: Column, kind: str) -> Column:
         return F.transform(ids, lambda i: F.struct(i.alias("category_id"), F.lit(kind).alias("kind")))
 
+    touching = (
+        (F.col("click_category_id") != NO_CLICK)
+        | F.col("order_category_ids").isNotNull()
+        | F.col("pay_category_ids").isNotNull()
+    )
     none = F.array().cast("array<bigint>")
     clicked = F.when(F.col("click_category_id") != NO_CLICK, F.array("click_category_id"))
     touches = F.concat(
@@ -24,7 +30,7 @@ def _category_touches(actions: DataFrame, *keep: str) -> DataFrame:
         tagged(F.coalesce(id_list(F.col("order_category_ids")), none), "order"),
         tagged(F.coalesce(id_list(F.col("pay_category_ids")), none), "pay"),
     )
-    return actions.select(*keep, F.inline(touches))
+    return actions.where(touching).select(*keep, F.inline(touches))
 
 
 def category_event_counts(actions: DataFrame) -> DataFrame:
@@ -59,9 +65,10 @@ def session_category_counts(actions: DataFrame) -> DataFrame:
 
 def top_categories(counts: DataFrame, n: int = 10) -> DataFrame:
     """The `n` categories with most clicks, then orders, then payments; ties by smaller id."""
-    return counts.orderBy(
+    top = counts.orderBy(
         F.desc("click_count"), F.desc("order_count"), F.desc("pay_count"), "category_id"
     ).limit(n)
+    return broadcast_up_to(top, n)
 
 
 def category_session_clicks(
@@ -69,14 +76,13 @@ def category_session_clicks(
 ) -> DataFrame:
     """Clicks of each (kept) session in each top category.
 
-    `top` has n rows, so it is broadcast and cuts the scan to clicks in n categories. These are
-    counted per session before the filter on sessions: the join sees one row per session and
-    category, however long the session is.
+    `top` is a list of a few categories and cuts the scan to their clicks. These are per session before the filter on sessions: the join sees one row per session and category,
+    however long the session is.
     """
     counted = (
         actions.where(F.col("click_category_id") != NO_CLICK)
         .select("session_id", F.col("click_category_id").alias("category_id"))
-        .join(F.broadcast(top.select("category_id")), "category_id", "left_semi")
+        .join(top.select("category_id"), "category_id", "left_semi")
         .groupBy("category_id", "session_id")
         .agg(F.count(F.lit(1)).alias("click_count"))
     )
@@ -88,17 +94,9 @@ def category_session_clicks(
 
 
 def top_sessions(clicks: DataFrame, n: int = 10) -> DataFrame:
-    """The `n` sessions with most clicks of each category; ties by smaller session id.
-
-    The constant rank condition lets each task cut its rows of a category to `n` before the
-    shuffle, so a category that holds most rows stays small.
-    """
-    order = Window.partitionBy("category_id").orderBy(F.desc("click_count"), "session_id")
-    return (
-        clicks.withColumn("_rank", F.row_number().over(order))
-        .where(F.col("_rank") <= n)
-        .drop("_rank")
-    )
+    """The `n` sessions with most clicks of each category; ties by smaller session id."""
+    order = [F.desc("click_count"), "session_id"]
+    return ranked(clicks, ["category_id"], order, n, "session_id").drop(RANK)
 
 
 def top_category_report(top: DataFrame, task_id: str) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from clickloom.functions.times import format_date
+from clickloom.operators.ranks import RANK, broadcast_up_to, ranked
 from clickloom.operators.sessions import session_rollup
 
 
@@ -31,21 +32,16 @@ def hour_quotas(sessions: DataFrame, total: int) -> DataFrame:
 def sample_sessions(sessions: DataFrame, total: int = 100, seed: str = "") -> DataFrame:
     """Draw each hour's quota without repeats; the seed decides which sessions.
 
-    The quotas sum up to `total` at most, so their table has at most `total` rows and is
-    broadcast. The first rank condition is a constant, so every task first cuts its own rows
-    of an hour down to `total`: an hour that holds most sessions does not travel whole.
+    The quotas sum up to `total` at most, so their table has at most `total` rows, and no hour
+    needs more than its first `total` sessions.
     """
-    quotas = F.broadcast(hour_quotas(sessions, total).select("date", "hour", "quota"))
-    order = Window.partitionBy("date", "hour").orderBy(
-        F.md5(F.concat("session_id", F.lit(seed))), "session_id"
-    )
+    quotas = hour_quotas(sessions, total).select("date", "hour", "quota")
+    candidates = _dated(sessions).join(broadcast_up_to(quotas, total), ["date", "hour"])
+    order = [F.md5(F.concat("session_id", F.lit(seed))), "session_id"]
     return (
-        _dated(sessions)
-        .join(quotas, ["date", "hour"])
-        .withColumn("_rank", F.row_number().over(order))
-        .where(F.col("_rank") <= total)
-        .where(F.col("_rank") <= F.col("quota"))
-        .drop("_rank")
+        ranked(candidates, ["date", "hour"], order, total, "session_id")
+        .where(F.col(RANK) <= F.col("quota"))
+        .drop(RANK)
     )
 
 
@@ -54,11 +50,12 @@ def session_extract(
 ) -> DataFrame:
     """Sampled sessions with start time, keywords and categories.
 
-    Keyword and category sets are built for the drawn sessions only: at most `total` ids are
-    broadcast against a second scan of the actions.
+    Keyword and category sets are built for the drawn sessions only: at most `total` ids meet a
+    second scan of the actions.
     """
     drawn = sample_sessions(sessions, total, seed).select("session_id")
-    details = session_rollup(actions.join(F.broadcast(drawn), "session_id", "left_semi"))
+    drawn = broadcast_up_to(drawn, total)
+    details = session_rollup(actions.join(drawn, "session_id", "left_semi"))
     return details.select(
         F.lit(task_id).alias("taskid"),
         F.col("session_id").alias("sessionid"),

@@ -168,3 +168,24 @@ def test_extract_has_details_of_the_drawn_sessions(spark, actions, users):
         ("t", "a", "2020-05-01 10:00:00", "tea", "3"), ("t", "b", "2020-05-01 10:30:00", None, None)
     ]
     assert out.columns == ["taskid", "sessionid", "startTime", "searchKeywords", "clickCategoryIds"]
+
+
+@pytest.mark.parametrize("n", [1, 7, 1001, 5000])
+def test_ranks_in_parts_equal_plain_ranks(spark, n):
+    from clickloom.operators.ranks import RANK, ranked
+
+    rows = spark.range(9000).select(
+        F.when(F.col("id") % 3 == 0, "hot").otherwise(F.concat(F.lit("g"), F.col("id") % 4)).alias("g"),
+        F.pmod(F.xxhash64("id"), F.lit(50)).alias("score"), "id")
+    got = ranked(rows, ["g"], [F.desc("score"), "id"], n, "id")
+    order = {}
+    for r in sorted(rows.collect(), key=lambda r: (r.g, -r.score, r.id)):
+        order.setdefault(r.g, []).append(r.id)
+    want = {(g, i, k + 1) for g, ids in order.items() for k, i in enumerate(ids[:n])}
+    assert {(r.g, r.id, r[RANK]) for r in got.collect()} == want
+
+
+def test_large_sample_is_exact(spark):
+    population = sessions_at(spark, {"2020-05-01 09": 3000, "2020-05-01 10": 1000})
+    drawn = sampling.sample_sessions(population, 2000, "a").groupBy("hour").count()
+    assert rows_of(drawn) == [("09", 1500), ("10", 500)]
