@@ -325,7 +325,7 @@ def sink_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     batches = [
         log.where(part).groupBy("date", "province", "adid").agg(
             F.count(F.lit(1)).alias("clickCount")
-        )
+        ).persist()
         for part in (F.col("early"), ~F.col("early"))
     ]
     ad_keys = ("date", "province", "adid")
@@ -342,6 +342,7 @@ def sink_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
         plain.replace(batch, f"{root}/replace")
         for name, store in stores.items():
             store.write_batch(batch.select("adid") if name == "insert" else batch, batch_id)
+        batch.unpersist()
     found = {
         "append": spark.read.schema(TOP3).parquet(f"{root}/append"),
         "replace": spark.read.schema(TOP3).parquet(f"{root}/replace"),
