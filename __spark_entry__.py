@@ -266,6 +266,11 @@ def _stream(spark: SparkSession, sf_dir: str, name: str) -> tuple[DataFrame, AdT
     return lines, AdTables(f"{root}/tables"), f"{root}/checkpoint"
 
 
+def _to_the_end(spark: SparkSession) -> dict:
+    """Stop when the feed is read; one state partition per core of the cluster."""
+    return {"available_now": True, "state_partitions": spark.sparkContext.defaultParallelism}
+
+
 def _finish(query) -> None:
     query.awaitTermination()
 
@@ -285,21 +290,21 @@ def ad_blacklist(spark: SparkSession, sf_dir: str) -> DataFrame:
 def ad_stat(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines, tables, checkpoint = _stream(spark, sf_dir, "stat")
     tables = AdTables(tables.root, stateful=True)
-    _finish(live.start_ad_stat(lines, tables, checkpoint, available_now=True))
+    _finish(live.start_ad_stat(lines, tables, checkpoint, **_to_the_end(spark)))
     return tables.stat.read(spark)
 
 
 def ad_province_top3(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines, tables, checkpoint = _stream(spark, sf_dir, "top3")
     tables = AdTables(tables.root, stateful=True)
-    _finish(live.start_ad_stat(lines, tables, checkpoint, with_top3=True, available_now=True))
+    _finish(live.start_ad_stat(lines, tables, checkpoint, True, **_to_the_end(spark)))
     return tables.top3.read(spark)
 
 
 def ad_click_trend(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines, tables, checkpoint = _stream(spark, sf_dir, "trend")
     tables = AdTables(tables.root, stateful=True)
-    _finish(live.start_click_trend(lines, tables, checkpoint, available_now=True))
+    _finish(live.start_click_trend(lines, tables, checkpoint, **_to_the_end(spark)))
     return tables.trend.read(spark)
 
 
@@ -322,12 +327,13 @@ def sink_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("n_regionkey").cast("string").alias("province"),
         (F.col("k") % 20).cast("bigint").alias("adid"),
     )
-    batches = [
-        log.where(part).groupBy("date", "province", "adid").agg(
+    batches = []
+    for batch_id, part in enumerate((F.col("early"), ~F.col("early"))):
+        counts = log.where(part).groupBy("date", "province", "adid").agg(
             F.count(F.lit(1)).alias("clickCount")
-        ).persist()
-        for part in (F.col("early"), ~F.col("early"))
-    ]
+        )
+        plain.replace(counts, f"{root}/batches/{batch_id}")
+        batches.append(spark.read.schema(TOP3).parquet(f"{root}/batches/{batch_id}"))
     ad_keys = ("date", "province", "adid")
     stores = {
         "add": keyed.KeyedTable(f"{root}/add", TOP3, ad_keys, keyed.ADD, "clickCount", "date"),
@@ -342,7 +348,6 @@ def sink_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
         plain.replace(batch, f"{root}/replace")
         for name, store in stores.items():
             store.write_batch(batch.select("adid") if name == "insert" else batch, batch_id)
-        batch.unpersist()
     found = {
         "append": spark.read.schema(TOP3).parquet(f"{root}/append"),
         "replace": spark.read.schema(TOP3).parquet(f"{root}/replace"),

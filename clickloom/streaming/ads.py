@@ -31,6 +31,7 @@ from clickloom.streaming.tables import AdTables
 BATCH_INTERVAL = "5 seconds"
 LATENESS = "60 minutes"
 COMPACT_EVERY = 50
+PARTITIONS = "spark.sql.shuffle.partitions"
 
 BatchFunction = Callable[[DataFrame, int], None]
 
@@ -128,8 +129,13 @@ def start_ad_stat(
     checkpoint: str,
     with_top3: bool = False,
     available_now: bool = False,
+    state_partitions: int | None = None,
 ) -> StreamingQuery:
-    """Clicks per day, province, city and ad as streaming state; changed totals are stored."""
+    """Clicks per day, province, city and ad as streaming state; changed totals are stored.
+
+    The first start fixes the number of state partitions; it is the session's number of
+    shuffle partitions unless given.
+    """
 
     def on_batch(totals: DataFrame, batch_id: int) -> None:
         spark = totals.sparkSession
@@ -140,7 +146,8 @@ def start_ad_stat(
             touched.append(tables.top3)
         _keep_short(spark, batch_id, touched)
 
-    return _start(ad_stat(parse_ad_log(lines)), on_batch, checkpoint, available_now)
+    stat = ad_stat(parse_ad_log(lines))
+    return _start(stat, on_batch, checkpoint, available_now, state_partitions)
 
 
 def start_click_trend(
@@ -149,6 +156,7 @@ def start_click_trend(
     checkpoint: str,
     lateness: str = LATENESS,
     available_now: bool = False,
+    state_partitions: int | None = None,
 ) -> StreamingQuery:
     """Clicks per minute and ad as streaming state that ends `lateness` behind the feed."""
 
@@ -157,7 +165,7 @@ def start_click_trend(
         _keep_short(totals.sparkSession, batch_id, [tables.trend])
 
     trend = click_trend(parse_ad_log(lines).withWatermark("ts", lateness))
-    return _start(trend, on_batch, checkpoint, available_now)
+    return _start(trend, on_batch, checkpoint, available_now, state_partitions)
 
 
 def sliding_hour_stream(lines: DataFrame, lateness: str = LATENESS) -> DataFrame:
@@ -178,13 +186,28 @@ def sliding_hour_stream(lines: DataFrame, lateness: str = LATENESS) -> DataFrame
 
 
 def _start(
-    frame: DataFrame, on_batch: BatchFunction, checkpoint: str, available_now: bool
+    frame: DataFrame,
+    on_batch: BatchFunction,
+    checkpoint: str,
+    available_now: bool,
+    state_partitions: int | None = None,
 ) -> StreamingQuery:
     writer = frame.writeStream.foreachBatch(on_batch).outputMode("update")
     writer = writer.option("checkpointLocation", checkpoint)
     if available_now:
-        return writer.trigger(availableNow=True).start()
-    return writer.trigger(processingTime=BATCH_INTERVAL).start()
+        writer = writer.trigger(availableNow=True)
+    else:
+        writer = writer.trigger(processingTime=BATCH_INTERVAL)
+    if state_partitions is None:
+        return writer.start()
+    # A query copies the session's settings when it starts.
+    conf = frame.sparkSession.conf
+    before = conf.get(PARTITIONS)
+    conf.set(PARTITIONS, str(state_partitions))
+    try:
+        return writer.start()
+    finally:
+        conf.set(PARTITIONS, before)
 
 
 def _days_of(rows: DataFrame) -> tuple[str, str] | None:
