@@ -47,12 +47,17 @@ class KeyedTable:
         spark: SparkSession,
         before: int | None = None,
         between: tuple[str, str] | None = None,
+        only: DataFrame | None = None,
     ) -> DataFrame:
         """Current rows; with `before`, those from batches with smaller ids.
 
-        `between` limits the partition column to a range.
+        `between` limits the partition column to a range, `only` the rows to those whose key
+        columns are in that frame. Both take effect before folders are merged.
         """
-        return self._merge(self._raw(spark, before, between))
+        rows = self._raw(spark, before, between)
+        if only is not None:
+            rows = rows.join(only, only.columns, "left_semi")
+        return self._merge(rows)
 
     def read_batch(self, spark: SparkSession, batch_id: int) -> DataFrame:
         """The changes one batch wrote."""

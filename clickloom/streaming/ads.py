@@ -95,8 +95,8 @@ def update_blacklist(
 ) -> None:
     """Add a batch's clicks to the stored counts, then list the users they push over.
 
-    The counts are written first and read back, so the batch is not computed twice, and sum
-    and test need one grouping of the days at hand.
+    The counts are written first and read back, so the batch is not computed twice. Of the
+    stored counts only those of the batch's days and keys are added up.
     """
     spark = clean.sparkSession
     counts = tables.user_clicks
@@ -104,9 +104,9 @@ def update_blacklist(
     days = _days_of(counts.read_batch(spark, batch_id))
     if days is None:
         return
-    stored = counts.read(spark, before=batch_id + 1, between=days)
     touched = counts.read_batch(spark, batch_id).select(*counts.keys)
-    over = users_over(stored.join(touched, list(counts.keys), "left_semi"), threshold)
+    stored = counts.read(spark, before=batch_id + 1, between=days, only=touched)
+    over = users_over(stored, threshold)
     known = tables.blacklist.read(spark, before=batch_id)
     tables.blacklist.write_batch(over.join(known, "userid", "left_anti"), batch_id)
 
@@ -118,9 +118,8 @@ def update_top3(spark: SparkSession, batch_id: int, tables: AdTables) -> None:
     if days is None:
         return
     groups = changed.select(*tables.top3.keys).distinct()
-    stored = tables.stat.read(spark, before=batch_id + 1, between=days)
-    affected = stored.join(groups, list(tables.top3.keys), "left_semi")
-    tables.top3.write_batch(province_top_ads(affected), batch_id)
+    stored = tables.stat.read(spark, before=batch_id + 1, between=days, only=groups)
+    tables.top3.write_batch(province_top_ads(stored), batch_id)
 
 
 def start_ad_stat(

@@ -47,6 +47,8 @@ def test_rules_replays_and_compaction(spark, tmp_path, rule):
     assert rows_of(t.read(spark, between=("d2", "d3"))) == [
         r for r in EXPECTED[rule] if r[0] in ("d2", "d3")]
     assert rows_of(t.read(spark, before=1)) == first
+    days = spark.createDataFrame([("d1",), ("d9",)], "date string")
+    assert rows_of(t.read(spark, only=days)) == [r for r in EXPECTED[rule] if r[0] == "d1"]
     t.compact(spark)
     t.tidy(spark)
     assert rows_of(t.read(spark)) == EXPECTED[rule]
