@@ -204,7 +204,8 @@ _STEPS = (
 
 def _ratios(sessions: str) -> str:
     shares = [
-        f"((200 * count(*) FILTER ({column} {test}) + count(*)) // (2 * count(*))) / 100.0"
+        f"coalesce((200 * count(*) FILTER ({column} {test}) + count(*))"
+        f" // nullif(2 * count(*), 0), 0) / 100.0"
         f" AS {column}_{name}_ratio"
         for column, buckets in (("visit_length", _VISITS), ("step_length", _STEPS))
         for name, test in buckets

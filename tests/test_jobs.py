@@ -11,7 +11,7 @@ from clickloom.plans import jobs
 from clickloom.sinks import tables
 from clickloom.sources import retail
 
-SF = f"{TESTDATA}/sf0.001"
+SF = f"{TESTDATA}/sf0.01"
 MONTH = ("2024-01-01", "2024-01-31")
 
 

@@ -1,4 +1,4 @@
-"""Every registered query against its SQL, on the smallest tables."""
+"""Every registered query against its SQL. On smaller tables no user has the ages asked for."""
 
 from __future__ import annotations
 
@@ -8,7 +8,7 @@ from oracle_check import connect, difference
 
 import __spark_entry__ as registered
 
-SF = f"{TESTDATA}/sf0.001"
+SF = f"{TESTDATA}/sf0.01"
 
 
 @pytest.fixture(scope="module")
