@@ -30,6 +30,12 @@ from clickloom.streaming.replay import replay
 from clickloom.streaming.tables import TOP3, AdTables
 from oracle.statements import STATEMENTS
 
+try:
+    import corpus_pipeline
+    from clickloom.llm import queries as llm
+except ImportError:  # both are optional
+    corpus_pipeline = llm = None
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 ACTION_COLUMNS = [part.split()[0] for part in ACTION_SCHEMA.split(",")]
@@ -384,8 +390,16 @@ def entry(spark: SparkSession) -> DataFrame:
 
 
 def queries() -> dict[str, Query]:
-    return {q.__name__: q for q in _QUERIES}
+    found = {q.__name__: q for q in _QUERIES}
+    if llm is not None:
+        found |= llm.queries() | {"pipeline": corpus_pipeline.run}
+    return found
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(STATEMENTS)
+    found = dict(STATEMENTS)
+    if llm is not None:
+        found |= llm.oracle_sql()
+        if corpus_pipeline.ORACLE_SQL is not None:
+            found["pipeline"] = corpus_pipeline.ORACLE_SQL
+    return found
