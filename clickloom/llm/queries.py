@@ -6,8 +6,10 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from clickloom.llm.exact import exact_groups
 from clickloom.llm.frames import sha256_hex, table
 from clickloom.llm.pieces import decode_pieces, encode_pieces, read_model
+from clickloom.llm.statements import STATEMENTS
 
 PIECES = "piece_bpe_32k.model"
 
@@ -25,9 +27,13 @@ def op1_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_groups(table(spark, sf_dir, "documents"))
+
+
 def queries() -> dict:
-    return {q.__name__: q for q in (op1_pieces,)}
+    return {q.__name__: q for q in (op1_pieces, op2_exact_dedup)}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(STATEMENTS)
