@@ -13,6 +13,7 @@ from pyspark.sql import types as T
 from clickloom.folders import scratch_dir
 
 Batches = Iterator[pa.RecordBatch]
+SLICE_ROWS = 256
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -27,6 +28,13 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def slices(batches: Batches) -> Batches:
+    """The same rows in small batches, so that Python objects of a few texts exist at a time."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, SLICE_ROWS):
+            yield batch.slice(at, SLICE_ROWS)
+
+
 def put(batch: pa.RecordBatch, name: str, values: pa.Array) -> pa.RecordBatch:
     """The batch with one more column; a column of that name is replaced in its place."""
     at = batch.schema.get_field_index(name)
@@ -38,10 +46,10 @@ def put(batch: pa.RecordBatch, name: str, values: pa.Array) -> pa.RecordBatch:
 def with_column_of(
     df: DataFrame, source: str, target: str, kind: T.DataType, values: Callable[[pa.Array], pa.Array]
 ) -> DataFrame:
-    """`target` computed from `source`, one Arrow batch at a time; an old `target` is replaced."""
+    """`target` computed from `source`, a few rows at a time; an old `target` is replaced."""
 
     def apply(batches: Batches) -> Batches:
-        for batch in batches:
+        for batch in slices(batches):
             yield put(batch, target, values(batch.column(batch.schema.get_field_index(source))))
 
     fields = [f for f in df.schema.fields if f.name != target]

@@ -30,13 +30,13 @@ NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 BPE = 2
 # Words seen before are not encoded again. These bound the memory of a worker: two generations of
 # words are held, and the older one goes when the newer one is full.
-MAX_WORDS, MAX_WORD_LENGTH, MAX_PAIRS = 500_000, 64, 1_000_000
+MAX_WORDS, MAX_WORD_LENGTH, MAX_PAIRS = 400_000, 64, 1_000_000
 
 codecs.register_error("each_byte", lambda e: ("�" * (e.end - e.start), e.end))
 
 
-class PieceModel:
-    """A byte-pair model with byte fallback, an identity normaliser and a dummy prefix."""
+class PieceDecoder:
+    """Texts of ids, for a byte-pair model with byte fallback and a dummy prefix."""
 
     def __init__(self, model: bytes) -> None:
         from sentencepiece import sentencepiece_model_pb2
@@ -74,6 +74,40 @@ class PieceModel:
                 self.surface[i] = proto.trainer_spec.unk_surface
         self.byte_of = {i: b for b, i in enumerate(self.byte_ids)}
 
+    def decode(self, ids) -> str:
+        """Text of ids. One space at the very beginning is the dummy prefix and goes."""
+        surface, byte_of = self.surface, self.byte_of
+        if byte_of.keys().isdisjoint(ids):
+            text = "".join(map(surface.__getitem__, ids))
+            first = next((i for i in ids if self.kind[i] != CONTROL), None)
+        else:
+            parts: list[str] = []
+            pending = bytearray()
+            first = None
+            for i in ids:
+                b = byte_of.get(i)
+                if b is not None:
+                    pending.append(b)
+                else:
+                    if pending:
+                        parts.append(pending.decode("utf-8", "each_byte"))
+                        pending.clear()
+                    parts.append(surface[i])
+                if first is None and self.kind[i] != CONTROL:
+                    first = i
+            if pending:
+                parts.append(pending.decode("utf-8", "each_byte"))
+            text = "".join(parts)
+        if first is not None and self.kind[first] == NORMAL and text.startswith(" "):
+            return text[1:]
+        return text
+
+
+class PieceModel(PieceDecoder):
+    """The encoder of such a model."""
+
+    def __init__(self, model: bytes) -> None:
+        super().__init__(model)
         self.pairs: dict[tuple[str, str], bool] = {}
         self.words: dict[str, tuple[int, ...]] = {}
         self.old_words: dict[str, tuple[int, ...]] = {}
@@ -118,6 +152,9 @@ class PieceModel:
     def backtrack(self, text: str) -> list[str]:
         """The pieces of a text of known characters."""
         matches, shorter, pairs = self.automaton.iter_long, self.shorter, self.pairs.get
+        greedy = [piece for _, piece in matches(text)]
+        if all(map(pairs, zip(greedy, greedy[1:]))):
+            return greedy  # known to be compatible all along
         size = len(text)
         failed = bytearray(size // 8 + 1)
         out: list[str] = []
@@ -171,41 +208,18 @@ class PieceModel:
             extend(seen(word) or fresh(word))
         return ids
 
-    def decode(self, ids) -> str:
-        """Text of ids. One space at the very beginning is the dummy prefix and goes."""
-        surface, byte_of = self.surface, self.byte_of
-        if byte_of.keys().isdisjoint(ids):
-            text = "".join(map(surface.__getitem__, ids))
-            first = next((i for i in ids if self.kind[i] != CONTROL), None)
-        else:
-            parts: list[str] = []
-            pending = bytearray()
-            first = None
-            for i in ids:
-                b = byte_of.get(i)
-                if b is not None:
-                    pending.append(b)
-                else:
-                    if pending:
-                        parts.append(pending.decode("utf-8", "each_byte"))
-                        pending.clear()
-                    parts.append(surface[i])
-                if first is None and self.kind[i] != CONTROL:
-                    first = i
-            if pending:
-                parts.append(pending.decode("utf-8", "each_byte"))
-            text = "".join(parts)
-        if first is not None and self.kind[first] == NORMAL and text.startswith(" "):
-            return text[1:]
-        return text
-
 
 @lru_cache(maxsize=2)
-def _model(model: bytes) -> PieceModel:
-    """One model, with its words, for each Python worker."""
+def _encoder(model: bytes) -> PieceModel:
+    """One encoder, with its words, for each Python worker."""
     return PieceModel(model)
 
 
+@lru_cache(maxsize=2)
+def _decoder(model: bytes) -> PieceDecoder:
+    return PieceDecoder(model)
+
+
 def read_model(path: str) -> bytes:
     """The model file's bytes; under a megabyte, they go to the tasks with the code."""
     with open(path, "rb") as f:
@@ -219,7 +233,7 @@ def encode_pieces(df: DataFrame, model: bytes, text: str = "text", ids: str = "i
     """
 
     def values(texts: pa.Array) -> pa.Array:
-        encode = _model(model).encode
+        encode = _encoder(model).encode
         each = [np.array(encode(t), np.int32) if t else np.zeros(0, np.int32) for t in texts.to_pylist()]
         ends = np.cumsum([0, *map(len, each)], dtype=np.int32)
         flat = np.concatenate(each) if each else np.zeros(0, np.int32)
@@ -232,7 +246,7 @@ def decode_pieces(df: DataFrame, model: bytes, ids: str = "ids", text: str = "te
     """Adds the text of `ids`; null gives an empty text. An existing column `text` is replaced."""
 
     def values(arrays: pa.Array) -> pa.Array:
-        decode = _model(model).decode
+        decode = _decoder(model).decode
         return pa.array([decode(i) if i else "" for i in arrays.to_pylist()], pa.string())
 
     return with_column_of(df, ids, text, T.StringType(), values)

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from clickloom.llm.exact import exact_groups
 from clickloom.llm.frames import sha256_hex, table
 from clickloom.llm.pieces import decode_pieces, encode_pieces, read_model
+from clickloom.llm.simhash import near_groups
 from clickloom.llm.statements import STATEMENTS
 
 PIECES = "piece_bpe_32k.model"
@@ -31,8 +32,14 @@ def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(table(spark, sf_dir, "documents"))
 
 
+def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = near_groups(table(spark, sf_dir, "documents"))
+    fingerprint = F.lpad(F.lower(F.hex("fingerprint")), 16, "0")
+    return found.select("doc_id", fingerprint.alias("fingerprint"), "component_id")
+
+
 def queries() -> dict:
-    return {q.__name__: q for q in (op1_pieces, op2_exact_dedup)}
+    return {q.__name__: q for q in (op1_pieces, op2_exact_dedup, op10_simhash)}
 
 
 def oracle_sql() -> dict[str, str]:
