@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from clickloom.llm.frames import ascii_lower, sha256_hex, written
 
 ROWS_PER_WORD = 4
+SALTS = 16
 MAX_WORDS = 1 << 22
 
 
@@ -92,8 +93,10 @@ def exact_groups(docs: DataFrame, text: str = "text", id: str = "doc_id") -> Dat
     groups = repeated.groupBy("text_sha256").agg(
         F.max(id).alias("keep_id"), F.count(F.lit(1)).alias("group_size")
     )
-    # One group may hold a third of the rows: adaptive execution splits this join.
-    grouped = repeated.join(groups, "text_sha256").select(alone.columns)
+    # One group may hold a third of the rows: its rows are dealt out by a salt.
+    salted = repeated.withColumn("_salt", F.pmod(F.xxhash64(id), F.lit(SALTS)).cast("int"))
+    copies = groups.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    grouped = salted.join(copies, ["text_sha256", "_salt"]).select(alone.columns)
     return alone.unionByName(grouped).select(
         id, "keep_id", "group_size", F.col(id).eqNullSafe(F.col("keep_id")).alias("kept"),
         "text_sha256",

@@ -9,9 +9,12 @@ from pyspark.sql import functions as F
 from clickloom.llm.exact import exact_groups
 from clickloom.llm.frames import sha256_hex, table
 from clickloom.llm.pieces import decode_pieces, encode_pieces, read_model
+from clickloom.llm.quality import fit, with_score
+from clickloom.llm.shards import interleaved_shards
 from clickloom.llm.simhash import near_groups
 from clickloom.llm.statements import STATEMENTS
 
+SHARDS = 16
 PIECES = "piece_bpe_32k.model"
 
 
@@ -32,6 +35,32 @@ def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(table(spark, sf_dir, "documents"))
 
 
+def held_out() -> F.Column:
+    """The documents whose labels are not learned from."""
+    return F.crc32(F.col("doc_id").cast("string")) % 3 == 1
+
+
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    ranking = fit(docs, table(spark, sf_dir, "labels").where(~held_out()))
+    return with_score(docs, ranking).select(
+        "doc_id", F.coalesce(held_out(), F.lit(False)).alias("held_out"), "score",
+        (F.col("score") >= 0.5).cast("int").alias("predicted"),
+    )
+
+
+def op5_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    data = F.encode(F.coalesce("text", F.lit("")), "UTF-8")
+    docs = table(spark, sf_dir, "documents").select(
+        "doc_id", "source", (F.octet_length(data) + 1).cast("bigint").alias("size"),
+        F.crc32(data).alias("text_crc32"),
+    )
+    return interleaved_shards(docs, SHARDS, by="source", id="doc_id").select(
+        "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_groups(table(spark, sf_dir, "documents"))
     fingerprint = F.lpad(F.lower(F.hex("fingerprint")), 16, "0")
@@ -39,7 +68,7 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {q.__name__: q for q in (op1_pieces, op2_exact_dedup, op10_simhash)}
+    return {q.__name__: q for q in (op1_pieces, op2_exact_dedup, op3_quality, op5_shards, op10_simhash)}
 
 
 def oracle_sql() -> dict[str, str]:
