@@ -13,6 +13,7 @@ from clickloom.llm.quality import fit, with_score
 from clickloom.llm.shards import interleaved_shards
 from clickloom.llm.simhash import near_groups
 from clickloom.llm.statements import STATEMENTS
+from clickloom.llm.topk import top_k
 
 SHARDS = 16
 PIECES = "piece_bpe_32k.model"
@@ -61,6 +62,10 @@ def op5_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_groups(table(spark, sf_dir, "documents"))
     fingerprint = F.lpad(F.lower(F.hex("fingerprint")), 16, "0")
@@ -68,7 +73,7 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {q.__name__: q for q in (op1_pieces, op2_exact_dedup, op3_quality, op5_shards, op10_simhash)}
+    return {q.__name__: q for q in (op1_pieces, op2_exact_dedup, op3_quality, op5_shards, op8_topk, op10_simhash)}
 
 
 def oracle_sql() -> dict[str, str]:

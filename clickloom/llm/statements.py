@@ -16,4 +16,22 @@ SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, text_sha256
 FROM digests JOIN groups USING (text_sha256)
 """
 
-STATEMENTS = {"op2_exact_dedup": OP2}
+OP8 = """
+WITH vectors AS (
+    SELECT vec_id, list_transform(embedding, lambda x: floor(1024 * x::DOUBLE)::BIGINT) AS v
+    FROM embeddings
+    WHERE embedding IS NOT NULL
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+),
+scores AS (
+    SELECT q.vec_id AS query_id, c.vec_id,
+           list_sum(list_transform(list_zip(q.v, c.v), lambda p: p[1] * p[2]))::BIGINT AS score
+    FROM vectors q JOIN vectors c ON q.vec_id % 100 = 0 AND c.vec_id <> q.vec_id
+)
+SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank,
+       vec_id, score
+FROM scores
+QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) <= 10
+"""
+
+STATEMENTS = {"op2_exact_dedup": OP2, "op8_topk": OP8}
