@@ -8,8 +8,10 @@ from pyspark.sql import functions as F
 
 from clickloom.llm.exact import exact_groups
 from clickloom.llm.frames import sha256_hex, table
+from clickloom.llm.mixing import mix, words
 from clickloom.llm.pieces import decode_pieces, encode_pieces, read_model
 from clickloom.llm.quality import fit, with_score
+from clickloom.llm.secrets import BASE, as_text, find_secrets, of_kinds
 from clickloom.llm.shards import interleaved_shards
 from clickloom.llm.simhash import near_groups
 from clickloom.llm.statements import STATEMENTS
@@ -50,6 +52,28 @@ def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def domain(source: str = "source") -> F.Column:
+    """The test tables name no domain: sources are put into four by the number they end in."""
+    number = F.regexp_extract(source, r"(\d+)$", 1).cast("bigint")
+    return F.concat(F.lit("domain"), F.coalesce(number % 4, F.lit(0)).cast("string"))
+
+
+def levels() -> dict[str, F.Column]:
+    return {"domain": domain(), "lang": F.col("lang"), "source": F.col("source")}
+
+
+WEIGHTS = {
+    "domain": {"domain0": 0.4, "domain1": 0.3, "domain2": 0.2, "domain3": 0.1},
+    "lang": {"en": 0.55, "fr": 0.15, "de": 0.15, "es": 0.15},
+}
+
+
+def op4_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    mixed = mix(docs, levels(), WEIGHTS, 1.0, words("text"), max_epochs=3)
+    return mixed.select("doc_id", "epoch", "lang", "source")
+
+
 def op5_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     data = F.encode(F.coalesce("text", F.lit("")), "UTF-8")
     docs = table(spark, sf_dir, "documents").select(
@@ -62,6 +86,17 @@ def op5_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = find_secrets(docs).select("doc_id", "secrets")
+    return found.select(
+        "doc_id",
+        *[F.size(of_kinds("secrets", (k,))).cast("bigint").alias(f"n_{k}") for k in BASE],
+        F.sha2(as_text(of_kinds("secrets", BASE)), 256).alias("base_sha256"),
+        as_text(F.col("secrets")).alias("spans"),
+    )
+
+
 def op8_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
 
@@ -73,7 +108,10 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict:
-    return {q.__name__: q for q in (op1_pieces, op2_exact_dedup, op3_quality, op5_shards, op8_topk, op10_simhash)}
+    return {q.__name__: q for q in (
+        op1_pieces, op2_exact_dedup, op3_quality, op4_mixing, op5_shards, op6_secrets, op8_topk,
+        op10_simhash,
+    )}
 
 
 def oracle_sql() -> dict[str, str]:

@@ -5,9 +5,7 @@ number, less one half, over the rows of its source, so every source is spread ev
 rows are sorted by it and cut into shards of equal counts: every shard gets each source in its
 proportion, and the counts of two shards differ by one row at most.
 
-Numbering rows in order needs no task that sees all of a source. Rows fall into buckets of the order,
-buckets are counted, and a running sum over the counts is where a bucket's own numbers begin. Only
-the few rows of a bucket are sorted in one task.
+Numbering rows in order needs no task that sees all of a source (see `running`).
 
 Null is a source of its own. Rows that agree in source and id are told apart by `tie` columns; rows that
 are equal in all of these are interchangeable. An empty table gives no rows.
@@ -17,40 +15,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clickloom.llm.frames import written
+from clickloom.llm.running import BUCKET_ROWS, digest_bucket, running
 
 SEED = 42
-BUCKET_ROWS = 4096
-
-
-def numbered(
-    rows: DataFrame, order: Sequence[str], bucket: Column, target: str, within: str | None = None
-) -> DataFrame:
-    """Adds `target`, the row's number from 1 in the given order, and `_total`, the rows numbered.
-
-    With `within` each value of that column, which must not be null, is numbered on its own.
-    `bucket` must rise with the order. Rows of one bucket are sorted in one task; all else is
-    counting.
-    """
-    by = [within] if within else []
-    marked = rows.withColumn("_bucket", bucket)
-    counts = marked.groupBy(*by, "_bucket").agg(F.count(F.lit(1)).alias("_count"))
-    # A row for each bucket: the sums are over counts, BUCKET_ROWS times fewer than rows.
-    whole = Window.partitionBy(*by)
-    before = whole.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    starts = counts.select(
-        *by, "_bucket", F.coalesce(F.sum("_count").over(before), F.lit(0)).alias("_start"),
-        F.sum("_count").over(whole).alias("_total"),
-    )
-    inside = Window.partitionBy(*by, "_bucket").orderBy(*order)
-    return (
-        marked.withColumn("_row", F.row_number().over(inside)).join(starts, [*by, "_bucket"])
-        .withColumn(target, F.col("_start") + F.col("_row"))
-        .drop("_bucket", "_row", "_start")
-    )
 
 
 def interleaved_shards(
@@ -67,18 +38,16 @@ def interleaved_shards(
     columns = [c for c in rows.columns if c not in ("shard", "slot")]
     source = F.coalesce(F.concat(F.lit("="), F.col(by).cast("string")), F.lit(""))
     key = F.md5(F.concat_ws(":", F.lit(str(seed)), F.col(id).cast("string")))
-    # The first 28 bits of the digest say the bucket: digests are even, so buckets are.
-    head = F.conv(F.substring("_key", 1, 7), 16, 10).cast("bigint")
     keyed = rows.select(*columns, source.alias("_by"), key.alias("_key"))
     order = ["_key", *[c for c in (id, *tie) if c in columns]]
     shuffled = written(
-        numbered(keyed, order, F.floor(head * buckets / (1 << 28)), "_number", "_by")
+        running(keyed, order, digest_bucket("_key", buckets), F.lit(1), "_number", ["_by"])
         .withColumn("_part", (F.col("_number") - F.lit(0.5)) / F.col("_total"))
         .drop("_total"),
         "shards",
     )
-    placed = numbered(
-        shuffled, ["_part", *order, "_by"], F.floor(F.col("_part") * buckets), "_place"
+    placed = running(
+        shuffled, ["_part", *order, "_by"], F.floor(F.col("_part") * buckets), F.lit(1), "_place"
     )
     # Shard s holds the places from s * total / shards on, rounded up.
     n, size = F.lit(shards).cast("bigint"), F.lit(max(1, total)).cast("bigint")
