@@ -11,6 +11,7 @@ from clickloom.llm.frames import sha256_hex, table
 from clickloom.llm.mixing import mix, words
 from clickloom.llm.pieces import decode_pieces, encode_pieces, read_model
 from clickloom.llm.quality import fit, with_score
+from clickloom.llm.repeats import remove_repeats
 from clickloom.llm.secrets import BASE, as_text, find_secrets, of_kinds
 from clickloom.llm.shards import interleaved_shards
 from clickloom.llm.simhash import near_groups
@@ -97,6 +98,19 @@ def op6_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = remove_repeats(docs)
+    removed = F.aggregate(
+        "removed", F.lit(0).cast("bigint"), lambda n, run: n + run["end"] - run["start"]
+    )
+    return found.select(
+        "doc_id", (F.octet_length("kept") + removed).alias("n_bytes"),
+        removed.alias("n_removed"), F.size("removed").cast("bigint").alias("n_spans"),
+        F.sha2("kept", 256).alias("kept_sha256"),
+    )
+
+
 def op8_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
 
@@ -109,8 +123,8 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def queries() -> dict:
     return {q.__name__: q for q in (
-        op1_pieces, op2_exact_dedup, op3_quality, op4_mixing, op5_shards, op6_secrets, op8_topk,
-        op10_simhash,
+        op1_pieces, op2_exact_dedup, op3_quality, op4_mixing, op5_shards, op6_secrets, op7_repeats,
+        op8_topk, op10_simhash,
     )}
 
 
