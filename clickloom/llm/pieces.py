@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import codecs
 import re
+from array import array
 from functools import lru_cache
 
 import ahocorasick
@@ -66,18 +67,21 @@ class PieceDecoder:
                 self.rank[p.piece] = -p.score
                 self.id_of[p.piece] = i
             elif p.type == BYTE:
-                self.byte_ids[int(p.piece[3:5], 16)] = i
-                self.surface[i] = ""
+                byte = int(p.piece[3:5], 16)
+                self.byte_ids[byte] = i
+                # The byte of an ASCII character is that character whatever is next to it.
+                self.surface[i] = chr(byte) if byte < 128 else ""
             elif p.type == CONTROL:
                 self.surface[i] = ""
             else:
                 self.surface[i] = proto.trainer_spec.unk_surface
         self.byte_of = {i: b for b, i in enumerate(self.byte_ids)}
+        self.high_bytes = set(self.byte_ids[128:])
 
-    def decode(self, ids) -> str:
+    def decode(self, ids: list[int]) -> str:
         """Text of ids. One space at the very beginning is the dummy prefix and goes."""
         surface, byte_of = self.surface, self.byte_of
-        if byte_of.keys().isdisjoint(ids):
+        if self.high_bytes.isdisjoint(ids):
             text = "".join(map(surface.__getitem__, ids))
             first = next((i for i in ids if self.kind[i] != CONTROL), None)
         else:
@@ -108,23 +112,30 @@ class PieceModel(PieceDecoder):
 
     def __init__(self, model: bytes) -> None:
         super().__init__(model)
-        self.pairs: dict[tuple[str, str], bool] = {}
-        self.words: dict[str, tuple[int, ...]] = {}
-        self.old_words: dict[str, tuple[int, ...]] = {}
+        self.pairs: dict[int, bool] = {}
+        self.words: dict[str, bytes] = {}
+        self.old_words: dict[str, bytes] = {}
         known = {c for piece in self.rank for c in piece}
         # Pieces that merging never makes of their own characters can't occur at all.
         units = known | {p for p in self.rank if self.merge(p) == [p]}
+        self.unit = sorted(units)
+        self.length = [len(p) for p in self.unit]
+        number = {p: i for i, p in enumerate(self.unit)}
         self.automaton = ahocorasick.Automaton()
-        for piece in units:
-            self.automaton.add_word(piece, piece)
+        for piece, i in number.items():
+            self.automaton.add_word(piece, i)
         self.automaton.make_automaton()
-        self.shorter = {
-            p: next((p[:n] for n in range(len(p) - 1, 0, -1) if p[:n] in units), None) for p in units
-        }
+        # The next shorter unit that a unit begins with, or -1.
+        self.shorter = [
+            next((number[p[:n]] for n in range(len(p) - 1, 0, -1) if p[:n] in units), -1)
+            for p in self.unit
+        ]
+        # The ids of a unit, as bytes: one, or those of its bytes if it is no piece itself.
+        self.packed = [self._pack(p) for p in self.unit]
         # No piece goes on from another character to a space, nor holds a character outside `known`.
         letters = "".join(map(re.escape, sorted(known - {SPACE})))
         spaces_lead = not any(SPACE in p.lstrip(SPACE) for p in self.rank)
-        word = f"{SPACE}*[{letters}]+|{SPACE}+" if spaces_lead else f"[{letters}{SPACE}]+"
+        word = f" *[{letters}]+| +" if spaces_lead else f"[{letters} ]+"
         self.split = re.compile(f"(?s){word}|.")
         self.known = known
 
@@ -141,29 +152,36 @@ class PieceModel(PieceDecoder):
                 return parts
             parts[at : at + 2] = [parts[at] + parts[at + 1]]
 
-    def compatible(self, left: str, right: str) -> bool:
-        known = self.pairs.get((left, right))
+    def _pack(self, piece: str) -> bytes:
+        i = self.id_of.get(piece)
+        ids = [self.byte_ids[b] for b in piece.encode()] if i is None else [i]
+        return array("i", ids).tobytes()
+
+    def compatible(self, left: int, right: int) -> bool:
+        pair = left << 32 | right
+        known = self.pairs.get(pair)
         if known is None:
             if len(self.pairs) >= MAX_PAIRS:
                 self.pairs.clear()
-            known = self.pairs[left, right] = self.merge(left + right) == [left, right]
+            two = [self.unit[left], self.unit[right]]
+            known = self.pairs[pair] = self.merge("".join(two)) == two
         return known
 
-    def backtrack(self, text: str) -> list[str]:
-        """The pieces of a text of known characters."""
-        matches, shorter, pairs = self.automaton.iter_long, self.shorter, self.pairs.get
-        greedy = [piece for _, piece in matches(text)]
-        if all(map(pairs, zip(greedy, greedy[1:]))):
+    def backtrack(self, text: str) -> list[int]:
+        """The units of a text of known characters."""
+        matches, shorter, length = self.automaton.iter_long, self.shorter, self.length
+        pairs = self.pairs.get
+        greedy = [unit for _, unit in matches(text)]
+        if all([pairs(a << 32 | b) for a, b in zip(greedy, greedy[1:])]):
             return greedy  # known to be compatible all along
         size = len(text)
         failed = bytearray(size // 8 + 1)
-        out: list[str] = []
-        at, last = 0, ""
-        candidate = next(matches(text))[1]
+        out: list[int] = []
+        at, last, candidate = 0, -1, greedy[0]
         while True:
-            end = at + len(candidate)
+            end = at + length[candidate]
             if not failed[end >> 3] >> (end & 7) & 1:
-                fits = not last or pairs((last, candidate))
+                fits = last < 0 or pairs(last << 32 | candidate)
                 if fits is None:
                     fits = self.compatible(last, candidate)
                 if fits:
@@ -174,39 +192,35 @@ class PieceModel(PieceDecoder):
                     candidate = next(matches(text, at))[1]
                     continue
             candidate = shorter[candidate]
-            while candidate is None:
+            while candidate < 0:
                 failed[at >> 3] |= 1 << (at & 7)
                 candidate = out.pop()
-                at -= len(candidate)
-                last = out[-1] if out else ""
+                at -= length[candidate]
+                last = out[-1] if out else -1
                 candidate = shorter[candidate]
 
-    def _word(self, word: str) -> tuple[int, ...]:
+    def _word(self, word: str) -> bytes:
         found = self.old_words.get(word)
         if found is None:
-            ids: list[int] = []
-            for piece in self.backtrack(word) if word[0] in self.known else word:
-                i = self.id_of.get(piece)
-                if i is not None:
-                    ids.append(i)
-                else:
-                    ids.extend(self.byte_ids[b] for b in piece.encode())
-            found = tuple(ids)
+            spaced = word.replace(" ", SPACE)
+            if spaced[0] in self.known:
+                found = b"".join([self.packed[unit] for unit in self.backtrack(spaced)])
+            else:
+                found = self._pack(spaced)
         if len(word) <= MAX_WORD_LENGTH:
             if len(self.words) >= MAX_WORDS:
                 self.old_words, self.words = self.words, {}
             self.words[word] = found
         return found
 
-    def encode(self, text: str) -> list[int]:
-        """Ids of a text, without begin and end."""
+    def encode(self, text: str) -> np.ndarray:
+        """Ids of a text, without begin and end, as int32."""
         if not text:
-            return []
-        ids: list[int] = []
-        seen, fresh, extend = self.words.get, self._word, ids.extend
-        for word in self.split.findall(SPACE + text.replace(" ", SPACE)):
-            extend(seen(word) or fresh(word))
-        return ids
+            return np.zeros(0, np.int32)
+        seen, fresh = self.words.get, self._word
+        # A space symbol in the text is the same as a space.
+        words = self.split.findall(" " + text.replace(SPACE, " "))
+        return np.frombuffer(b"".join([seen(w) or fresh(w) for w in words]), np.int32)
 
 
 @lru_cache(maxsize=2)
@@ -234,7 +248,7 @@ def encode_pieces(df: DataFrame, model: bytes, text: str = "text", ids: str = "i
 
     def values(texts: pa.Array) -> pa.Array:
         encode = _encoder(model).encode
-        each = [np.array(encode(t), np.int32) if t else np.zeros(0, np.int32) for t in texts.to_pylist()]
+        each = [encode(t or "") for t in texts.to_pylist()]
         ends = np.cumsum([0, *map(len, each)], dtype=np.int32)
         flat = np.concatenate(each) if each else np.zeros(0, np.int32)
         return pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from clickloom.llm.exact import exact_groups
 from clickloom.llm.frames import sha256_hex, table
 from clickloom.llm.mixing import mix, words
+from clickloom.llm.passages import repeated_passages
 from clickloom.llm.pieces import decode_pieces, encode_pieces, read_model
 from clickloom.llm.quality import fit, with_score
 from clickloom.llm.repeats import remove_repeats
@@ -115,6 +116,10 @@ def op8_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
 
 
+def op9_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeated_passages(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_groups(table(spark, sf_dir, "documents"))
     fingerprint = F.lpad(F.lower(F.hex("fingerprint")), 16, "0")
@@ -124,7 +129,7 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict:
     return {q.__name__: q for q in (
         op1_pieces, op2_exact_dedup, op3_quality, op4_mixing, op5_shards, op6_secrets, op7_repeats,
-        op8_topk, op10_simhash,
+        op8_topk, op9_passages, op10_simhash,
     )}
 
 
