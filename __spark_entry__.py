@@ -1,7 +1,7 @@
 """Registered queries and the SQL they are checked against.
 
-Every query runs over whole tables. Queries about streams run a real stream over the whole
-feed, in several micro-batches, and return what its sink holds.
+Every query runs over whole tables. Queries about streams run a real stream whose feed is the
+whole events table, and return what its sink holds.
 """
 
 from __future__ import annotations
@@ -15,7 +15,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickloom.folders import scratch_dir
+from clickloom.folders import remove, scratch_dir
 from clickloom.functions import numbers, texts, times
 from clickloom.operators import ads, areas, categories, funnel, sampling, sessions
 from clickloom.operators.ordered import successor_pairs
@@ -24,9 +24,9 @@ from clickloom.sinks import keyed
 from clickloom.sinks import tables as plain
 from clickloom.sources import retail
 from clickloom.sources.adlog import parse_ad_log
+from clickloom.sources.cities import city_dimension
 from clickloom.sources.tables import ACTION_SCHEMA, actions_between, clicks
 from clickloom.streaming import ads as live
-from clickloom.streaming.replay import replay
 from clickloom.streaming.tables import TOP3, AdTables
 from oracle.statements import STATEMENTS
 
@@ -241,6 +241,14 @@ def area_top3_product(spark: SparkSession, sf_dir: str) -> DataFrame:
     return areas.area_top_products(spark.table("area_product_info"), TASK, retail.LEVELS)
 
 
+def area_top3_inline_cities(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The report on the inline cities, which are ten, and their own area levels."""
+    rows = click_scan(spark, sf_dir).withColumn("city_id", F.col("city_id") % 10)
+    counts = areas.area_product_counts(rows, city_dimension(spark))
+    info = areas.area_product_info(counts, retail.products(spark, sf_dir))
+    return areas.area_top_products(info, TASK)
+
+
 # --- ads ---------------------------------------------------------------------------------------
 
 def _log(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -251,67 +259,90 @@ def ad_log_parsed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _log(spark, sf_dir).withColumn("ts_ms", F.unix_millis("ts")).drop("ts")
 
 
-def ad_log_not_blacklisted(spark: SparkSession, sf_dir: str) -> DataFrame:
-    listed = retail.users(spark, sf_dir).where(
+def _listed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return retail.users(spark, sf_dir).where(
         F.col("professional").isin("BUILDING", "FURNITURE")
     ).select(F.col("user_id").alias("userid"))
-    return ads.not_blacklisted(_log(spark, sf_dir), listed).drop("ts")
-
-
-def ad_click_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    log = _log(spark, sf_dir)
-    first_day = log.agg(F.min("date").alias("date")).scalar()
-    keys = log.select("userid", "adid").distinct().withColumn("date", first_day)
-    return ads.click_counts_of(keys, ads.user_ad_clicks(log))
 
 
-def _stream(spark: SparkSession, sf_dir: str, name: str) -> tuple[DataFrame, AdTables, str]:
-    pin_utc(spark)
-    root = scratch_dir(spark, name)
-    lines = replay(retail.ad_lines(spark, sf_dir), f"{root}/feed")
-    return lines, AdTables(f"{root}/tables"), f"{root}/checkpoint"
+def ad_log_not_blacklisted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ads.not_blacklisted(_log(spark, sf_dir), _listed(spark, sf_dir)).drop("ts")
 
 
-def _to_the_end(spark: SparkSession) -> dict:
-    """Stop when the feed is read; one state partition per core of the cluster."""
-    return {"available_now": True, "state_partitions": spark.sparkContext.defaultParallelism}
+def _streamed(spark: SparkSession, sf_dir: str, start, prepare=None, **options) -> AdTables:
+    """The tables that a stream over the whole events table has filled."""
+    root = scratch_dir(pin_utc(spark), start.__name__)
+    tables = AdTables(f"{root}/tables")
+    if prepare is not None:
+        prepare(tables)
+    lines = retail.ad_lines(spark, sf_dir, stream=True).select("value")
+    query = start(lines, tables, f"{root}/checkpoint", available_now=True, **options)
+    query.awaitTermination()
+    remove(spark, f"{root}/checkpoint")
+    return tables
 
 
-def _finish(query) -> None:
-    query.awaitTermination()
+def ad_click_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every user and ad on every day, looked up in the stored counts."""
+    log = _log(spark, sf_dir)
+    stored = _streamed(spark, sf_dir, live.start_user_clicks).user_clicks.read(spark)
+    first, last = (
+        times.parse_date_key(log.agg(edge("date").alias("date")).scalar()) for edge in (F.min, F.max)
+    )
+    days = F.explode(F.sequence(first, last))
+    keys = log.select("userid", "adid").distinct().select("userid", "adid", days.alias("day"))
+    return ads.click_counts_of(keys.withColumn("date", times.date_key("day")), stored)
 
 
 def ad_user_click_count(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines, tables, checkpoint = _stream(spark, sf_dir, "user-clicks")
-    _finish(live.start_user_clicks(lines, tables, checkpoint, available_now=True))
-    return tables.user_clicks.read(spark)
+    return _streamed(spark, sf_dir, live.start_user_clicks).user_clicks.read(spark)
 
 
 def ad_blacklist(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines, tables, checkpoint = _stream(spark, sf_dir, "blacklist")
-    _finish(live.start_blacklist(lines, tables, checkpoint, threshold=1, available_now=True))
-    return tables.blacklist.read(spark)
+    return _streamed(spark, sf_dir, live.start_blacklist, threshold=1).blacklist.read(spark)
 
 
 def ad_stat(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines, tables, checkpoint = _stream(spark, sf_dir, "stat")
-    tables = AdTables(tables.root, stateful=True)
-    _finish(live.start_ad_stat(lines, tables, checkpoint, **_to_the_end(spark)))
-    return tables.stat.read(spark)
+    return _streamed(spark, sf_dir, live.start_ad_stat).stat.read(spark)
 
 
 def ad_province_top3(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines, tables, checkpoint = _stream(spark, sf_dir, "top3")
-    tables = AdTables(tables.root, stateful=True)
-    _finish(live.start_ad_stat(lines, tables, checkpoint, True, **_to_the_end(spark)))
-    return tables.top3.read(spark)
+    return _streamed(spark, sf_dir, live.start_ad_stat, with_top3=True).top3.read(spark)
 
 
 def ad_click_trend(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines, tables, checkpoint = _stream(spark, sf_dir, "trend")
-    tables = AdTables(tables.root, stateful=True)
-    _finish(live.start_click_trend(lines, tables, checkpoint, **_to_the_end(spark)))
-    return tables.trend.read(spark)
+    return _streamed(spark, sf_dir, live.start_click_trend).trend.read(spark)
+
+
+def ad_click_sliding_hour_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _streamed(spark, sf_dir, live.start_sliding_hour).hours.read(spark).drop("date")
+
+
+def _whole_job(spark: SparkSession, sf_dir: str) -> AdTables:
+    """The whole ad job, with some users on the blacklist before it starts.
+
+    No user gets on it later, so the result doesn't depend on how the feed is cut.
+    """
+    def prepare(tables: AdTables) -> None:
+        tables.blacklist.write_batch(_listed(spark, sf_dir), -1)
+
+    return _streamed(spark, sf_dir, live.start_ad_job, prepare, threshold=1 << 40)
+
+
+def ad_job_user_clicks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _whole_job(spark, sf_dir).user_clicks.read(spark)
+
+
+def ad_job_stat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _whole_job(spark, sf_dir).stat.read(spark)
+
+
+def ad_job_province_top3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _whole_job(spark, sf_dir).top3.read(spark)
+
+
+def ad_job_click_trend(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _whole_job(spark, sf_dir).trend.read(spark)
 
 
 def ad_click_sliding_hour(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -378,8 +409,11 @@ _QUERIES: list[Query] = [
     top10_category, category_session_clicks, top10_session,
     page_successors, page_pair_counts, start_page_pv, page_convert_rate, page_split_convert_rate,
     click_scan, area_clicks, area_product_counts, area_product_info, area_top3_product,
+    area_top3_inline_cities,
     ad_log_parsed, ad_log_not_blacklisted, ad_user_click_count, ad_click_lookup, ad_blacklist,
     ad_stat, ad_province_top3, ad_click_trend, ad_click_sliding_hour,
+    ad_click_sliding_hour_stream, ad_job_user_clicks, ad_job_stat, ad_job_province_top3,
+    ad_job_click_trend,
     sink_round_trip,
 ]
 

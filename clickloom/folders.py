@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 from uuid import uuid4
 
 from pyspark.sql import SparkSession
@@ -17,11 +16,15 @@ def hadoop_path(spark: SparkSession, path: str):
 def scratch_dir(spark: SparkSession, name: str) -> str:
     """A new folder below the cluster's shared checkpoint folder.
 
-    Only a local session without that setting gets a folder of the machine.
+    Without that setting it lies below the warehouse, which all executors share as well.
     """
     shared = spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if shared:
-        return f"{shared.rstrip('/')}/{name}-{uuid4().hex}"
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    return tempfile.mkdtemp(prefix=f"{name}-")
+    if not shared:
+        shared = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_work"
+    return f"{shared.rstrip('/')}/{name}-{uuid4().hex}"
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder that nothing reads any more."""
+    fs, folder = hadoop_path(spark, path)
+    fs.delete(folder, True)

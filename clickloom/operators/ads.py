@@ -1,6 +1,4 @@
-"""Ad clicks, on parsed lines (see `sources.adlog`). All functions take a batch frame;
-`ad_stat` and `click_trend` also take a stream.
-"""
+"""Ad clicks, on parsed lines (see `sources.adlog`). All functions take a batch frame."""
 
 from __future__ import annotations
 

@@ -76,8 +76,9 @@ def category_session_clicks(
 ) -> DataFrame:
     """Clicks of each (kept) session in each top category.
 
-    `top` is a list of a few categories and cuts the scan to their clicks. These are per session before the filter on sessions: the join sees one row per session and category,
-    however long the session is.
+    `top` is a list of a few categories and cuts the scan to their clicks. Clicks are counted per
+    session before sessions are filtered: the join sees one row per session and category, however
+    long the session is.
     """
     counted = (
         actions.where(F.col("click_category_id") != NO_CLICK)

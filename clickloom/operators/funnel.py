@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from clickloom.functions.numbers import share
-from clickloom.operators.ordered import HOUR, successor_pairs
+from clickloom.operators.ordered import SECOND, successor_pairs
 from clickloom.sources.tables import with_action_ts
 
 Flow = str | Sequence[int]
@@ -29,32 +29,38 @@ def target_pairs(spark: SparkSession, flow: Flow) -> DataFrame:
     return spark.range(1).select(F.posexplode(steps).alias("pos", "page_pair"))
 
 
+def _next_pages(
+    actions: DataFrame, tie_breakers: Sequence[str], slice_seconds: int
+) -> DataFrame:
+    """Counts of page_id and the page after it in the session, null after the last one."""
+    pairs = successor_pairs(
+        with_action_ts(actions), "session_id", "page_id", ["action_ts", *tie_breakers],
+        "action_ts", slice_seconds, with_last=True,
+    )
+    return pairs.groupBy("page_id", "next_value").agg(F.count(F.lit(1)).alias("pair_count"))
+
+
+def _of_flow(counted: DataFrame, flow: Flow) -> DataFrame:
+    pages = flow_pages(flow)
+    wanted = sorted({f"{a}_{b}" for a, b in zip(pages, pages[1:])})
+    pair = F.concat(F.col("page_id").cast("string"), F.lit("_"), F.col("next_value").cast("string"))
+    return counted.select(pair.alias("page_pair"), "pair_count").where(
+        F.col("page_pair").isin(wanted)
+    )
+
+
 def page_pair_counts(
     actions: DataFrame,
     flow: Flow,
     tie_breakers: Sequence[str] = ("page_id",),
-    slice_seconds: int = HOUR,
+    slice_seconds: int = SECOND,
 ) -> DataFrame:
     """How often each step of the flow happens in a session: page_pair, pair_count.
 
     Actions of one session are ordered by time; `tie_breakers` order those of the same second.
     Steps that never happen have no row.
     """
-    pages = flow_pages(flow)
-    wanted = sorted({f"{a}_{b}" for a, b in zip(pages, pages[1:])})
-    pairs = successor_pairs(
-        with_action_ts(actions), "session_id", "page_id", ["action_ts", *tie_breakers],
-        "action_ts", slice_seconds,
-    )
-    counted = (
-        pairs.where(F.col("page_id").isin(pages[:-1]) & F.col("next_value").isin(pages[1:]))
-        .groupBy("page_id", "next_value")
-        .agg(F.count(F.lit(1)).alias("pair_count"))
-    )
-    pair = F.concat_ws("_", "page_id", "next_value")
-    return counted.select(pair.alias("page_pair"), "pair_count").where(
-        F.col("page_pair").isin(wanted)
-    )
+    return _of_flow(_next_pages(actions, tie_breakers, slice_seconds), flow)
 
 
 def start_page_views(actions: DataFrame, flow: Flow) -> DataFrame:
@@ -68,7 +74,7 @@ def page_convert_rates(
     actions: DataFrame,
     flow: Flow,
     tie_breakers: Sequence[str] = ("page_id",),
-    slice_seconds: int = HOUR,
+    slice_seconds: int = SECOND,
 ) -> DataFrame:
     """Per step: pos, page_pair, pair_count, base_count, convert_rate.
 
@@ -76,11 +82,13 @@ def page_convert_rates(
     of the step before. A step never taken has count 0; a base of 0 gives a null rate.
     """
     steps = target_pairs(actions.sparkSession, flow)
-    counts = page_pair_counts(actions, flow, tie_breakers, slice_seconds)
-    start = start_page_views(actions, flow).select(
-        F.lit(-1).alias("pos"), F.lit(None).cast("string").alias("page_pair"),
-        F.col("start_page_pv").alias("pair_count"),
-    )
+    # Every action is there once, as a page before another or as the last one of its session, so
+    # one pass gives the steps and the views of the start page.
+    counted_pages = _next_pages(actions, tie_breakers, slice_seconds)
+    counts = _of_flow(counted_pages, flow)
+    start = counted_pages.where(F.col("page_id") == flow_pages(flow)[0]).agg(
+        F.coalesce(F.sum("pair_count"), F.lit(0)).alias("pair_count")
+    ).select(F.lit(-1).alias("pos"), F.lit(None).cast("string").alias("page_pair"), "pair_count")
     counted = steps.join(F.broadcast(counts), "page_pair", "left").select(
         "pos", "page_pair", F.coalesce("pair_count", F.lit(0).cast("bigint")).alias("pair_count")
     )

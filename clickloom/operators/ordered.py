@@ -1,9 +1,11 @@
 """Neighbours and running counts inside ordered groups of any size.
 
 A window over a whole group puts the group into one task, so one session or user with a third
-of all rows would hold up the job. Here a group is cut into time slices. Windows run inside a
-slice, and only the first and last row of each slice go on to a window over the whole group.
-The results are those of the plain window.
+of all rows would hold up the job. Here time is cut twice. Rows meet in windows of one second of
+a group. Each second then is one row with its edges, which a plain aggregation makes, combined before
+the shuffle; seconds meet in windows of one hour, at most 3600 rows, and hours in a window over the group.
+A group with very many rows within an hour, or even within minutes, is cut as well as one that spans a
+month. The results are those of the plain window.
 """
 
 from __future__ import annotations
@@ -13,12 +15,13 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-HOUR = 3600
+SECOND, HOUR = 1, 3600
+NO_TIME = -(1 << 62)
 
 
-def time_slice(ts: Column, seconds: int = HOUR) -> Column:
-    """Number of the time slice that holds `ts`."""
-    return F.floor(F.unix_seconds(ts) / seconds)
+def time_slice(ts: Column, seconds: int) -> Column:
+    """Number of the time slice that holds `ts`; rows without a time have one of their own."""
+    return F.coalesce(F.floor(F.unix_seconds(ts) / seconds), F.lit(NO_TIME))
 
 
 def successor_pairs(
@@ -27,77 +30,91 @@ def successor_pairs(
     value: str,
     order: Sequence[str],
     ts: str,
-    slice_seconds: int = HOUR,
+    slice_seconds: int = SECOND,
+    span_seconds: int = HOUR,
+    with_last: bool = False,
 ) -> DataFrame:
     """`value` of each row with the `value` of the next row of its group: (value, next_value).
 
-    `order` must begin with `ts`. The last row of a group has no pair.
+    `order` must begin with `ts`. The last row of a group has no pair; `with_last` gives it one with
+    null, so that every row is there once.
     """
     sliced = rows.select(
         group, value, *[c for c in order if c not in (group, value)],
         time_slice(F.col(ts), slice_seconds).alias("_slice"),
     )
     inside = Window.partitionBy(group, "_slice").orderBy(*order)
-    seen = sliced.select(
-        "*",
-        F.lead(value).over(inside).alias("next_value"),
-        F.lead(F.lit(True)).over(inside).isNull().alias("_last"),
-        (F.row_number().over(inside) == 1).alias("_first"),
+    pairs = sliced.select(
+        value, F.lead(value).over(inside).alias("next_value"),
+        F.lead(F.lit(True)).over(inside).alias("_more"),
+    ).where("_more").drop("_more")
+
+    place = F.struct(*order)
+    slices = sliced.groupBy(group, "_slice").agg(
+        F.min_by(F.struct(value), place).alias("_first"),
+        F.max_by(F.struct(value), place).alias("_last"),
+    ).withColumn("_span", F.floor(F.col("_slice") / F.lit(max(1, span_seconds // slice_seconds))))
+    within = Window.partitionBy(group, "_span").orderBy("_slice")
+    bridges = slices.select("_last", F.lead("_first").over(within).alias("_next"))
+
+    spans = slices.groupBy(group, "_span").agg(
+        F.min_by("_first", "_slice").alias("_first"), F.max_by("_last", "_slice").alias("_last")
     )
-    pairs = seen.where(~F.col("_last")).select(value, "next_value")
-
-    edges = seen.where(F.col("_first") | F.col("_last"))
-    across = Window.partitionBy(group).orderBy("_slice", *order)
-    bridges = (
-        edges.select(
-            value, "_slice",
-            F.lead("_slice").over(across).alias("_next_slice"),
-            F.lead(value).over(across).alias("next_value"),
-        )
-        .where(F.col("_next_slice") != F.col("_slice"))
-        .select(value, "next_value")
+    across = Window.partitionBy(group).orderBy("_span")
+    jumps = spans.select("_last", F.lead("_first").over(across).alias("_next"))
+    found = bridges.where("_next IS NOT NULL").unionByName(
+        jumps if with_last else jumps.where("_next IS NOT NULL")
     )
-    return pairs.unionByName(bridges)
+    return pairs.unionByName(found.select(
+        F.col(f"_last.{value}").alias(value), F.col(f"_next.{value}").alias("next_value")
+    ))
 
 
 def gap_sessions(
     rows: DataFrame,
     group: str,
     ts: str,
-    order: Sequence[str],
     gap_seconds: int,
-    slice_seconds: int = HOUR,
+    slice_seconds: int = SECOND,
+    span_seconds: int = HOUR,
 ) -> DataFrame:
     """Add `session_no`: 1 for the first row of a group, one more after each pause.
 
-    A pause is `gap_seconds` or more between two rows that follow each other.
+    A pause is `gap_seconds` or more between two rows that follow each other. A slice is
+    shorter than a pause, so all its rows are of one session.
     """
-    def starts(current: Column, previous: Column) -> Column:
+    if gap_seconds <= slice_seconds:
+        raise ValueError("a pause must be longer than a slice")
+
+    def starts(current: str, previous: Column) -> Column:
         pause = F.unix_micros(current) - F.unix_micros(previous)
-        return F.when(previous.isNull() | (pause >= gap_seconds * 1_000_000), 1).otherwise(0)
+        return (previous.isNull() | (pause >= gap_seconds * 1_000_000)).cast("int")
 
-    inside = Window.partitionBy(group, "_slice").orderBy(*order)
-    flagged = (
-        rows.withColumn("_slice", time_slice(F.col(ts), slice_seconds))
-        .withColumn("_previous", F.lag(ts).over(inside))
-        .withColumn("_starts", F.when(F.col("_previous").isNull(), 0)
-                    .otherwise(starts(F.col(ts), F.col("_previous"))))
+    sliced = rows.withColumn("_slice", time_slice(F.col(ts), slice_seconds))
+    slices = sliced.groupBy(group, "_slice").agg(
+        F.min(ts).alias("_from"), F.max(ts).alias("_to")
+    ).withColumn("_span", F.floor(F.col("_slice") / F.lit(max(1, span_seconds // slice_seconds))))
+    within = Window.partitionBy(group, "_span").orderBy("_slice")
+    first = F.row_number().over(within) == 1
+    counted = (
+        slices.withColumn(
+            "_starts", F.when(first, 0).otherwise(starts("_from", F.lag("_to").over(within)))
+        )
         .withColumn("_inside", F.sum("_starts").over(
-            inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+            within.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
     )
-    slices = flagged.groupBy(group, "_slice").agg(
-        F.min(ts).alias("_from"), F.max(ts).alias("_to"), F.sum("_starts").alias("_within")
+    spans = counted.groupBy(group, "_span").agg(
+        F.min("_from").alias("_from"), F.max("_to").alias("_to"), F.sum("_starts").alias("_within")
     )
-    across = Window.partitionBy(group).orderBy("_slice")
+    across = Window.partitionBy(group).orderBy("_span")
     so_far = across.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     offsets = (
-        slices.withColumn("_opens", starts(F.col("_from"), F.lag("_to").over(across)))
+        spans.withColumn("_opens", starts("_from", F.lag("_to").over(across)))
         .withColumn("_base", F.sum(F.col("_opens") + F.col("_within")).over(so_far)
                     - F.col("_within"))
-        .select(group, "_slice", "_base")
+        .select(group, "_span", "_base")
     )
-    return (
-        flagged.join(offsets, [group, "_slice"])
-        .withColumn("session_no", F.col("_base") + F.col("_inside"))
-        .drop("_slice", "_previous", "_starts", "_inside", "_base")
+    numbers = counted.join(offsets, [group, "_span"]).select(
+        group, "_slice", (F.col("_base") + F.col("_inside")).alias("session_no")
     )
+    return sliced.join(numbers, [group, "_slice"]).drop("_slice")

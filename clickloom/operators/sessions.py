@@ -78,8 +78,12 @@ class SessionFilter:
         """Conditions that one action of the session has to meet, by name."""
         found: dict[str, Column] = {}
         if _given(self.keywords):
-            keyword = F.col("search_keyword")
-            found["_keyword_hit"] = is_not_empty(keyword) & keyword.isin(_items(self.keywords))
+            # A search of several words, set apart by commas, hits by any of them.
+            searched = F.split("search_keyword", ",")
+            wanted = F.array(*[F.lit(k) for k in _items(self.keywords)])
+            found["_keyword_hit"] = (
+                is_not_empty(F.col("search_keyword")) & F.arrays_overlap(searched, wanted)
+            )
         if _given(self.category_ids):
             category = F.col("click_category_id")
             wanted = [int(i) for i in _items(self.category_ids)]

@@ -3,7 +3,8 @@
 Files cannot be updated in place. Each micro-batch therefore writes its own changes into its own
 folder, and reading merges the folders. A batch that runs again after a failure writes the
 same folder again, so nothing counts twice. Folders without Spark's `_SUCCESS` mark, left by a
-lost job, are not read. `compact` folds the folders into one, so that reads stay short.
+lost job, are not read. `compact` folds the folders into one, so that reads stay short; in a table with
+a partition column only the days that the folders touch are folded, all other days stay as they are.
 
 A table belongs to one streaming query: batch ids are those of its checkpoint.
 """
@@ -12,7 +13,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clickloom.folders import hadoop_path
@@ -46,15 +47,15 @@ class KeyedTable:
         self,
         spark: SparkSession,
         before: int | None = None,
-        between: tuple[str, str] | None = None,
+        days: Column | None = None,
         only: DataFrame | None = None,
     ) -> DataFrame:
         """Current rows; with `before`, those from batches with smaller ids.
 
-        `between` limits the partition column to a range, `only` the rows to those whose key
+        `days` is a condition on the partition column, `only` limits the rows to those whose key
         columns are in that frame. Both take effect before folders are merged.
         """
-        rows = self._raw(spark, before, between)
+        rows = self._raw(spark, before, days)
         if only is not None:
             rows = rows.join(only, only.columns, "left_semi")
         return self._merge(rows)
@@ -67,19 +68,41 @@ class KeyedTable:
         """Fold all finished batches into one folder. The folders folded stay until `tidy`."""
         done = self._committed(spark, "batch")
         bases = self._committed(spark, "base")
-        if done and (not bases or done[-1] > bases[-1]):
-            self._write(self._merge(self._raw(spark)), f"{self.path}/base/batch_id={done[-1]}")
+        fresh = [i for i in done if not bases or i > bases[-1]]
+        if not fresh:
+            return
+        days = None
+        if self.partition:
+            touched = sorted({d for i in fresh for d in self._days(spark, "batch", i)})
+            days = F.col(self.partition).isin(touched)
+        self._write(self._merge(self._raw(spark, days=days)), f"{self.path}/base/batch_id={done[-1]}")
 
     def tidy(self, spark: SparkSession) -> None:
         """Delete folders that the last but one compaction has made superfluous."""
         bases = self._committed(spark, "base")
         if len(bases) < 2:
             return
-        for kind, limit in (("batch", bases[-2]), ("base", bases[-2] - 1)):
-            for batch_id in self._committed(spark, kind):
-                if batch_id <= limit:
-                    fs, folder = hadoop_path(spark, f"{self.path}/{kind}/batch_id={batch_id}")
-                    fs.delete(folder, True)
+        last = bases[-2]
+        for batch_id in self._committed(spark, "batch"):
+            if batch_id <= last:
+                self._delete(spark, f"batch/batch_id={batch_id}")
+        if not self.partition:
+            for batch_id in bases[:-2]:
+                self._delete(spark, f"base/batch_id={batch_id}")
+            return
+        newer: set[str] = set()
+        for batch_id in reversed(bases[:-1]):
+            days = self._days(spark, "base", batch_id)
+            for day in days:
+                if day in newer:
+                    self._delete(spark, f"base/batch_id={batch_id}/{self.partition}={day}")
+            if batch_id != last and newer.issuperset(days):
+                self._delete(spark, f"base/batch_id={batch_id}")
+            newer.update(days)
+
+    def _delete(self, spark: SparkSession, folder: str) -> None:
+        fs, path = hadoop_path(spark, f"{self.path}/{folder}")
+        fs.delete(path, True)
 
     def _write(self, rows: DataFrame, path: str) -> None:
         by = [self.partition] if self.partition else []
@@ -87,24 +110,30 @@ class KeyedTable:
         rows.hint("rebalance", *by).write.mode("overwrite").partitionBy(*by).parquet(path)
 
     def _raw(
-        self,
-        spark: SparkSession,
-        before: int | None = None,
-        between: tuple[str, str] | None = None,
+        self, spark: SparkSession, before: int | None = None, days: Column | None = None
     ) -> DataFrame:
         def earlier(ids: list[int]) -> list[int]:
             return [i for i in ids if before is None or i < before]
 
-        base = earlier(self._committed(spark, "base"))[-1:]
-        batches = [i for i in earlier(self._committed(spark, "batch")) if not base or i > base[0]]
-        rows = self._load(
-            spark,
-            [f"{self.path}/base/batch_id={i}" for i in base]
-            + [f"{self.path}/batch/batch_id={i}" for i in batches],
+        bases = earlier(self._committed(spark, "base"))
+        last = bases[-1] if bases else None
+        batches = [i for i in earlier(self._committed(spark, "batch")) if last is None or i > last]
+        folders = [f"{self.path}/base/batch_id={i}" for i in bases[-1:]]
+        if self.partition:
+            # Each day is read from the last base that folded it.
+            newest = {d: i for i in bases for d in self._days(spark, "base", i)}
+            folders = [
+                f"{self.path}/base/batch_id={i}/{self.partition}={d}" for d, i in newest.items()
+            ]
+        rows = self._load(spark, folders + [f"{self.path}/batch/batch_id={i}" for i in batches])
+        return rows if days is None else rows.where(days)
+
+    def _days(self, spark: SparkSession, kind: str, batch_id: int) -> list[str]:
+        """Values of the partition column that a folder holds, as its subfolders name them."""
+        fs, pattern = hadoop_path(
+            spark, f"{self.path}/{kind}/batch_id={batch_id}/{self.partition}=*"
         )
-        if between is not None:
-            rows = rows.where(F.col(self.partition).between(*between))
-        return rows
+        return [s.getPath().getName().split("=", 1)[1] for s in fs.globStatus(pattern) or []]
 
     def _load(self, spark: SparkSession, paths: list[str]) -> DataFrame:
         schema = f"{self.columns}, batch_id bigint"

@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from clickloom.folders import hadoop_path
 from clickloom.functions.times import TIME_FORMAT
 from clickloom.operators.ordered import gap_sessions
 from clickloom.session import pin_utc
@@ -33,10 +34,25 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def events(
-    spark: SparkSession, sf_dir: str, start_date: str | None = None, end_date: str | None = None
+    spark: SparkSession,
+    sf_dir: str,
+    start_date: str | None = None,
+    end_date: str | None = None,
+    stream: bool = False,
 ) -> DataFrame:
-    """Events with a typed time and the number `k`. Dates cut the scan on the stored column."""
-    rows = table(spark, sf_dir, "events")
+    """Events with a typed time and the number `k`. Dates cut the scan on the stored column.
+
+    As a stream, the table's files are the feed.
+    """
+    if stream:
+        reader = pin_utc(spark).readStream.schema(SCHEMAS["events"])
+        fs, path = hadoop_path(spark, f"{sf_dir}/events.parquet")
+        if fs.getFileStatus(path).isDirectory():
+            rows = reader.parquet(path.toString())
+        else:  # a stream reads folders: of this one, the one file
+            rows = reader.option("pathGlobFilter", path.getName()).parquet(sf_dir)
+    else:
+        rows = table(spark, sf_dir, "events")
     if start_date is not None:
         rows = rows.where(F.col("ts") >= F.lit(start_date).cast("date").cast("timestamp_ntz"))
     if end_date is not None:
@@ -60,7 +76,7 @@ def actions(
     a pause of half an hour."""
     rows = events(spark, sf_dir, start_date, end_date)
     if gap:
-        rows = gap_sessions(rows, "user_id", "ts", ["ts", "event_id"], GAP_SECONDS)
+        rows = gap_sessions(rows, "user_id", "ts", GAP_SECONDS)
         session = F.concat_ws("_", "user_id", "session_no")
     else:
         session = F.concat_ws("_", "user_id", _period())
@@ -136,9 +152,9 @@ def cities(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def ad_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One feed line per event: the text and, to cut the feed by time, its time."""
-    rows = events(spark, sf_dir).withColumn("city", F.col("user_id") % 25)
+def ad_lines(spark: SparkSession, sf_dir: str, stream: bool = False) -> DataFrame:
+    """One feed line per event: the text and its time."""
+    rows = events(spark, sf_dir, stream=stream).withColumn("city", F.col("user_id") % 25)
     nations = table(spark, sf_dir, "nation").select(
         F.col("n_nationkey").cast("bigint").alias("city"), "n_regionkey"
     )

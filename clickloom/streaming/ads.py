@@ -2,25 +2,25 @@
 
 `start_ad_job` runs everything on one stream: each micro-batch drops blacklisted users, updates
 the click counts, lists new offenders and refreshes statistics, province ranking and trend.
-`start_ad_stat` and `start_click_trend` keep the running counts in streaming state instead; they
-suit feeds that need no blacklist.
+The other starters run single parts of it. No part keeps streaming state: a batch writes what it
+adds to the stored counts, so a late line counts in its own minute, day and window, whenever it comes.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from clickloom.functions.times import minute_key
 from clickloom.operators.ads import (
     DEFAULT_THRESHOLD,
     ad_stat,
     click_trend,
     not_blacklisted,
     province_top_ads,
+    sliding_hour,
     user_ad_clicks,
     users_over,
 )
@@ -29,9 +29,9 @@ from clickloom.sources.adlog import parse_ad_log
 from clickloom.streaming.tables import AdTables
 
 BATCH_INTERVAL = "5 seconds"
-LATENESS = "60 minutes"
 COMPACT_EVERY = 50
-PARTITIONS = "spark.sql.shuffle.partitions"
+# A batch of so many days opens just their folders; one of more days opens the range of them.
+MAX_DAYS = 366
 
 BatchFunction = Callable[[DataFrame, int], None]
 
@@ -105,7 +105,7 @@ def update_blacklist(
     if days is None:
         return
     touched = counts.read_batch(spark, batch_id).select(*counts.keys)
-    stored = counts.read(spark, before=batch_id + 1, between=days, only=touched)
+    stored = counts.read(spark, before=batch_id + 1, days=days, only=touched)
     over = users_over(stored, threshold)
     known = tables.blacklist.read(spark, before=batch_id)
     tables.blacklist.write_batch(over.join(known, "userid", "left_anti"), batch_id)
@@ -118,7 +118,7 @@ def update_top3(spark: SparkSession, batch_id: int, tables: AdTables) -> None:
     if days is None:
         return
     groups = changed.select(*tables.top3.keys).distinct()
-    stored = tables.stat.read(spark, before=batch_id + 1, between=days, only=groups)
+    stored = tables.stat.read(spark, before=batch_id + 1, days=days, only=groups)
     tables.top3.write_batch(province_top_ads(stored), batch_id)
 
 
@@ -128,91 +128,66 @@ def start_ad_stat(
     checkpoint: str,
     with_top3: bool = False,
     available_now: bool = False,
-    state_partitions: int | None = None,
 ) -> StreamingQuery:
-    """Clicks per day, province, city and ad as streaming state; changed totals are stored.
+    """Clicks per day, province, city and ad, and the ranking of ads if wanted."""
 
-    The first start fixes the number of state partitions; it is the session's number of
-    shuffle partitions unless given.
-    """
-
-    def on_batch(totals: DataFrame, batch_id: int) -> None:
-        spark = totals.sparkSession
-        tables.stat.write_batch(totals, batch_id)
+    def on_batch(log: DataFrame, batch_id: int) -> None:
+        spark = log.sparkSession
+        tables.stat.write_batch(ad_stat(log), batch_id)
         touched = [tables.stat]
         if with_top3:
             update_top3(spark, batch_id, tables)
             touched.append(tables.top3)
         _keep_short(spark, batch_id, touched)
 
-    stat = ad_stat(parse_ad_log(lines))
-    return _start(stat, on_batch, checkpoint, available_now, state_partitions)
+    return _start(parse_ad_log(lines), on_batch, checkpoint, available_now)
 
 
 def start_click_trend(
-    lines: DataFrame,
-    tables: AdTables,
-    checkpoint: str,
-    lateness: str = LATENESS,
-    available_now: bool = False,
-    state_partitions: int | None = None,
+    lines: DataFrame, tables: AdTables, checkpoint: str, available_now: bool = False
 ) -> StreamingQuery:
-    """Clicks per minute and ad as streaming state that ends `lateness` behind the feed."""
+    """Clicks per minute and ad."""
 
-    def on_batch(totals: DataFrame, batch_id: int) -> None:
-        tables.trend.write_batch(totals, batch_id)
-        _keep_short(totals.sparkSession, batch_id, [tables.trend])
+    def on_batch(log: DataFrame, batch_id: int) -> None:
+        tables.trend.write_batch(click_trend(log), batch_id)
+        _keep_short(log.sparkSession, batch_id, [tables.trend])
 
-    trend = click_trend(parse_ad_log(lines).withWatermark("ts", lateness))
-    return _start(trend, on_batch, checkpoint, available_now, state_partitions)
+    return _start(parse_ad_log(lines), on_batch, checkpoint, available_now)
 
 
-def sliding_hour_stream(lines: DataFrame, lateness: str = LATENESS) -> DataFrame:
-    """Streaming frame of `operators.ads.sliding_hour`, for append output.
+def start_sliding_hour(
+    lines: DataFrame, tables: AdTables, checkpoint: str, available_now: bool = False
+) -> StreamingQuery:
+    """Clicks per ad in every 60-minute window, one window starting each minute."""
 
-    Minute counts are final once the watermark has passed; each then feeds its 60 windows.
-    """
-    log = parse_ad_log(lines).withWatermark("ts", lateness)
-    minutes = log.groupBy(F.window("ts", "1 minute"), "adid").agg(
-        F.count(F.lit(1)).alias("clicks")
-    )
-    hours = minutes.groupBy(
-        F.window(F.window_time("window"), "60 minutes", "1 minute"), "adid"
-    ).agg(F.sum("clicks").alias("clickCount"))
-    return hours.select(
-        minute_key(F.col("window.start")).alias("window_start"), "adid", "clickCount"
-    )
+    def on_batch(log: DataFrame, batch_id: int) -> None:
+        hours = sliding_hour(log)
+        day = F.substring("window_start", 1, 8)
+        tables.hours.write_batch(hours.withColumn("date", day), batch_id)
+        _keep_short(log.sparkSession, batch_id, [tables.hours])
+
+    return _start(parse_ad_log(lines), on_batch, checkpoint, available_now)
 
 
 def _start(
-    frame: DataFrame,
-    on_batch: BatchFunction,
-    checkpoint: str,
-    available_now: bool,
-    state_partitions: int | None = None,
+    frame: DataFrame, on_batch: BatchFunction, checkpoint: str, available_now: bool
 ) -> StreamingQuery:
-    writer = frame.writeStream.foreachBatch(on_batch).outputMode("update")
+    writer = frame.writeStream.foreachBatch(on_batch).outputMode("append")
     writer = writer.option("checkpointLocation", checkpoint)
     if available_now:
-        writer = writer.trigger(availableNow=True)
-    else:
-        writer = writer.trigger(processingTime=BATCH_INTERVAL)
-    if state_partitions is None:
-        return writer.start()
-    # A query copies the session's settings when it starts.
-    conf = frame.sparkSession.conf
-    before = conf.get(PARTITIONS)
-    conf.set(PARTITIONS, str(state_partitions))
-    try:
-        return writer.start()
-    finally:
-        conf.set(PARTITIONS, before)
-
-
-def _days_of(rows: DataFrame) -> tuple[str, str] | None:
-    """First and last day in a frame: one row, used to open only these days' folders."""
+        return writer.trigger(availableNow=True).start()
+    return writer.trigger(processingTime=BATCH_INTERVAL).start()
+
+
+def _days_of(rows: DataFrame) -> Column | None:
+    """A condition that opens only the folders of the days in a frame; None without rows."""
+    days = [r["date"] for r in rows.select("date").distinct().limit(MAX_DAYS + 1).collect()]
+    if not days:
+        return None
+    if len(days) <= MAX_DAYS:
+        return F.col("date").isin(days)
     low, high = rows.agg(F.min("date"), F.max("date")).first()
-    return None if low is None else (low, high)
+    return F.col("date").between(low, high)
 
 
 def _keep_short(spark: SparkSession, batch_id: int, tables: list[KeyedTable]) -> None:

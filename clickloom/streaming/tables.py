@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from clickloom.sinks.keyed import ADD, INSERT, OVERWRITE, REPLACE_GROUP, KeyedTable
+from clickloom.sinks.keyed import ADD, INSERT, REPLACE_GROUP, KeyedTable
 
 # Columns of the result tables.
 USER_CLICKS = "date string, userid bigint, adid bigint, clickCount bigint"
@@ -12,6 +12,7 @@ BLACKLIST = "userid bigint"
 STAT = "date string, province string, city string, adid bigint, clickCount bigint"
 TOP3 = "date string, province string, adid bigint, clickCount bigint"
 TREND = "date string, hour string, minute string, adid bigint, clickCount bigint"
+HOURS = "date string, window_start string, adid bigint, clickCount bigint"
 
 STAT_KEYS = ("date", "province", "city", "adid")
 TREND_KEYS = ("date", "hour", "minute", "adid")
@@ -19,14 +20,9 @@ TREND_KEYS = ("date", "hour", "minute", "adid")
 
 @dataclass(frozen=True)
 class AdTables:
-    """All tables of one ad job below a common folder.
-
-    `stateful` says who keeps the running counts of `stat` and `trend`: the streaming state,
-    which sends totals, or the tables, which get each batch's additions.
-    """
+    """All tables of one ad job below a common folder. Counts get each batch's additions."""
 
     root: str
-    stateful: bool = False
 
     @property
     def user_clicks(self) -> KeyedTable:
@@ -39,7 +35,7 @@ class AdTables:
 
     @property
     def stat(self) -> KeyedTable:
-        return self._table("ad_stat", STAT, STAT_KEYS, OVERWRITE if self.stateful else ADD)
+        return self._table("ad_stat", STAT, STAT_KEYS, ADD)
 
     @property
     def top3(self) -> KeyedTable:
@@ -47,7 +43,11 @@ class AdTables:
 
     @property
     def trend(self) -> KeyedTable:
-        return self._table("ad_click_trend", TREND, TREND_KEYS, OVERWRITE if self.stateful else ADD)
+        return self._table("ad_click_trend", TREND, TREND_KEYS, ADD)
+
+    @property
+    def hours(self) -> KeyedTable:
+        return self._table("ad_click_sliding_hour", HOURS, ("date", "window_start", "adid"), ADD)
 
     def all(self) -> list[KeyedTable]:
         return [self.user_clicks, self.blacklist, self.stat, self.top3, self.trend]

@@ -178,6 +178,10 @@ _VIEWS = {
     "st": """
         SELECT date, province, city, adid, count(*) AS "clickCount" FROM ad GROUP BY ALL
     """,
+    "clean": """
+        SELECT * FROM ad WHERE userid NOT IN (
+            SELECT c_custkey FROM customer WHERE c_mktsegment IN ('BUILDING', 'FURNITURE'))
+    """,
     "first_half": """
         SELECT date, province, adid, count(*) AS "clickCount" FROM ad
         WHERE event_type IN ('click', 'view') GROUP BY ALL
@@ -356,6 +360,29 @@ _BODIES = {
         FROM api
         QUALIFY row_number() OVER (PARTITION BY area ORDER BY click_count DESC, pid) <= 3
     """,
+    "area_top3_inline_cities": """
+        SELECT 'task' AS taskid, area,
+               CASE WHEN area IN ('华北', '华东') THEN 'A_Level'
+                    WHEN area IN ('华中', '华南') THEN 'B_Level'
+                    WHEN area IN ('西南', '西北') THEN 'C_Level'
+                    ELSE 'D_Level' END AS "areaLevel",
+               pid AS productid, city_infos AS "cityInfos", click_count AS "clickCount",
+               product_name AS "productName",
+               CASE WHEN json_extract_string(extend_info, '$.product_status') = '0'
+                    THEN 'Self' ELSE 'Third Party' END AS "productStatus"
+        FROM (
+            SELECT area, click_product_id AS pid, count(*) AS click_count,
+                   string_agg(DISTINCT c.city_id || ':' || city_name, ','
+                              ORDER BY c.city_id || ':' || city_name) AS city_infos
+            FROM act JOIN (VALUES
+                (0, '北京', '华北'), (1, '上海', '华东'), (2, '南京', '华东'), (3, '广州', '华南'),
+                (4, '三亚', '华南'), (5, '武汉', '华中'), (6, '长沙', '华中'), (7, '西安', '西北'),
+                (8, '成都', '西南'), (9, '哈尔滨', '东北')) AS c(city_id, city_name, area)
+            ON act.city_id % 10 = c.city_id
+            WHERE click_product_id <> -1 GROUP BY area, click_product_id
+        ) JOIN prod ON pid = product_id
+        QUALIFY row_number() OVER (PARTITION BY area ORDER BY click_count DESC, pid) <= 3
+    """,
     "ad_log_parsed": """
         SELECT date, minute_key, epoch_us(ts) // 1000 AS ts_ms, province, city, userid, adid FROM ad
     """,
@@ -368,7 +395,8 @@ _BODIES = {
     "ad_click_lookup": """
         SELECT d.date, u.userid, u.adid, coalesce(uac."clickCount", 0) AS "clickCount"
         FROM (SELECT DISTINCT userid, adid FROM ad) u
-        JOIN (SELECT min(date) AS date FROM ad) d ON true
+        CROSS JOIN (SELECT strftime(unnest(generate_series(
+            min(ts)::DATE, max(ts)::DATE, INTERVAL 1 DAY)), '%Y%m%d') AS date FROM ad) d
         LEFT JOIN uac ON uac.date = d.date AND uac.userid = u.userid AND uac.adid = u.adid
     """,
     "ad_blacklist": 'SELECT DISTINCT userid FROM uac WHERE "clickCount" > 1',
@@ -407,6 +435,21 @@ _BODIES = {
         SELECT date, minute_key[9:10] AS hour, minute_key[11:12] AS minute, adid,
                count(*) AS "clickCount" FROM ad GROUP BY ALL
     """,
+    "ad_job_user_clicks":
+        'SELECT date, userid, adid, count(*) AS "clickCount" FROM clean GROUP BY ALL',
+    "ad_job_stat":
+        'SELECT date, province, city, adid, count(*) AS "clickCount" FROM clean GROUP BY ALL',
+    "ad_job_province_top3": """
+        SELECT date, province, adid, "clickCount" FROM (
+            SELECT date, province, adid, count(*) AS "clickCount"
+            FROM clean GROUP BY date, province, adid)
+        QUALIFY row_number() OVER (PARTITION BY date, province
+                                   ORDER BY "clickCount" DESC, adid) <= 3
+    """,
+    "ad_job_click_trend": """
+        SELECT date, minute_key[9:10] AS hour, minute_key[11:12] AS minute, adid,
+               count(*) AS "clickCount" FROM clean GROUP BY ALL
+    """,
     "ad_click_sliding_hour": """
         SELECT strftime(date_trunc('minute', ts) - to_minutes(CAST(back AS BIGINT)), '%Y%m%d%H%M')
                    AS window_start,
@@ -415,4 +458,6 @@ _BODIES = {
     """,
 }
 
+_BODIES["ad_click_sliding_hour_stream"] = _BODIES["ad_click_sliding_hour"]
+
 STATEMENTS = {name: _WITH + body for name, body in _BODIES.items()}

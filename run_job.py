@@ -45,6 +45,8 @@ def _arguments(argv: list[str] | None) -> argparse.Namespace:
 
 def main(argv: list[str] | None = None) -> None:
     args = _arguments(argv)
+    if args.job == "ads" and args.jdbc_url:
+        raise SystemExit("ads: results go to keyed tables of files in --out, not to a database")
     spark = build_session(f"clickloom-{args.job}")
     if args.job == "ads":
         lines = (

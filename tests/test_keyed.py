@@ -4,6 +4,7 @@ import os
 
 import pytest
 from conftest import rows_of
+from pyspark.sql import functions as F
 
 from clickloom.sinks import keyed, tables
 from clickloom.sinks.keyed import KeyedTable
@@ -44,7 +45,7 @@ def test_rules_replays_and_compaction(spark, tmp_path, rule):
     t.compact(spark)
     t.write_batch(frame(spark, *BATCHES[2]), 2)
     assert rows_of(t.read(spark)) == EXPECTED[rule]
-    assert rows_of(t.read(spark, between=("d2", "d3"))) == [
+    assert rows_of(t.read(spark, days=F.col("date").isin("d2", "d3"))) == [
         r for r in EXPECTED[rule] if r[0] in ("d2", "d3")]
     assert rows_of(t.read(spark, before=1)) == first
     days = spark.createDataFrame([("d1",), ("d9",)], "date string")
@@ -56,6 +57,34 @@ def test_rules_replays_and_compaction(spark, tmp_path, rule):
     assert rows_of(t.read_batch(spark, 2)) == BATCHES[2]
 
 
+def files_of(path):
+    return {f for _, _, names in os.walk(path) for f in names if f.startswith("part-")}
+
+
+@pytest.mark.parametrize("rule", EXPECTED)
+def test_compaction_leaves_untouched_days_as_they_are(spark, tmp_path, rule):
+    t = store(tmp_path, rule)
+    t.write_batch(frame(spark, *BATCHES[0]), 0)
+    t.compact(spark)
+    day2 = files_of(f"{tmp_path}/t/base/batch_id=0/date=d2")
+    assert day2
+    for batch_id, rows in ((1, BATCHES[1]), (2, BATCHES[2])):
+        t.write_batch(frame(spark, *rows), batch_id)
+        t.compact(spark)
+        t.tidy(spark)
+        assert files_of(f"{tmp_path}/t/base/batch_id=0/date=d2") == day2
+        assert not os.path.exists(f"{tmp_path}/t/base/batch_id={batch_id}/date=d2")
+    assert rows_of(t.read(spark)) == EXPECTED[rule]
+    t.write_batch(frame(spark, ("d2", 9, 9)), 3)
+    t.compact(spark)
+    t.write_batch(frame(spark, ("d3", 9, 9)), 4)
+    t.compact(spark)
+    before = rows_of(t.read(spark))
+    t.tidy(spark)
+    assert rows_of(t.read(spark)) == before
+    assert not os.path.exists(f"{tmp_path}/t/base/batch_id=0/date=d2")
+
+
 def test_insert_only(spark, tmp_path):
     t = KeyedTable(f"{tmp_path}/b", "userid bigint", ("userid",), keyed.INSERT)
     for batch_id, ids in enumerate([[1, 2], [2, 3], []]):
@@ -74,7 +103,7 @@ def test_unfinished_folder_is_not_read(spark, tmp_path):
 def test_day_range_opens_only_its_folders(spark, tmp_path):
     t = store(tmp_path, keyed.ADD)
     t.write_batch(frame(spark, *BATCHES[0]), 0)
-    plan = t.read(spark, between=("d2", "d2"))._jdf.queryExecution().executedPlan().toString()
+    plan = t.read(spark, days=F.col("date") == "d2")._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [" in plan and "(date" in plan.split("PartitionFilters: [")[1]
 
 

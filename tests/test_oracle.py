@@ -16,14 +16,17 @@ def con():
     return connect(SF)
 
 
-@pytest.mark.parametrize("name", sorted(registered.queries()))
+OWN = sorted(q.__name__ for q in registered._QUERIES)
+
+
+@pytest.mark.parametrize("name", OWN)
 def test_query(spark, con, name):
     problem, _ = difference(spark, con, SF, name)
     assert problem is None
 
 
 def test_every_query_has_sql():
-    assert set(registered.queries()) == set(registered.oracle_sql())
+    assert set(OWN) <= set(registered.oracle_sql()) <= set(registered.queries())
 
 
 def test_entry(spark):

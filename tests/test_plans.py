@@ -47,7 +47,7 @@ def settings(spark):
             spark.conf.set(name, value)
 
 
-@pytest.mark.parametrize("name", sorted(registered.queries()))
+@pytest.mark.parametrize("name", sorted(q.__name__ for q in registered._QUERIES))
 def test_no_query_multiplies_rows_of_two_tables(spark, name):
     if name in STREAMS:
         pytest.skip("runs a stream when built")
@@ -58,7 +58,8 @@ def test_no_query_multiplies_rows_of_two_tables(spark, name):
 
 
 STREAMS = {"ad_user_click_count", "ad_blacklist", "ad_stat", "ad_province_top3", "ad_click_trend",
-           "sink_round_trip"}
+           "ad_click_lookup", "ad_click_sliding_hour_stream", "ad_job_user_clicks", "ad_job_stat",
+           "ad_job_province_top3", "ad_job_click_trend", "sink_round_trip"}
 
 
 def test_date_range_and_click_condition_reach_the_scan(spark, actions, tmp_path):

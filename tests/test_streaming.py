@@ -1,16 +1,15 @@
 from __future__ import annotations
 
 import random
-from collections import Counter
 
 import pytest
 from conftest import rows_of
 from pyspark.sql import functions as F
+from replay import replay
 
 from clickloom.operators import ads
 from clickloom.sources.adlog import file_lines, parse_ad_log
 from clickloom.streaming import ads as live
-from clickloom.streaming.replay import replay
 from clickloom.streaming.tables import AdTables
 
 START = 1_588_327_200_000
@@ -48,17 +47,52 @@ def test_job_equals_batch_however_the_feed_is_cut(spark, tmp_path, batches):
 
 
 @pytest.mark.parametrize("batches", [1, 4])
-def test_state_equals_batch(spark, tmp_path, batches):
+def test_parts_of_the_job_equal_batch(spark, tmp_path, batches):
     lines = feed(spark)
-    tables = AdTables(f"{tmp_path}/tables", stateful=True)
+    tables = AdTables(f"{tmp_path}/tables")
     stream = replay(lines, f"{tmp_path}/feed", batches)
     run(live.start_ad_stat, stream, tables, f"{tmp_path}/a", with_top3=True)
     run(live.start_click_trend, stream, tables, f"{tmp_path}/b")
+    run(live.start_sliding_hour, stream, tables, f"{tmp_path}/c")
     log = parse_ad_log(lines)
     stat = ads.ad_stat(log)
     assert rows_of(tables.stat.read(spark)) == rows_of(stat)
     assert rows_of(tables.top3.read(spark)) == rows_of(ads.province_top_ads(stat))
     assert rows_of(tables.trend.read(spark)) == rows_of(ads.click_trend(log))
+    hours = tables.hours.read(spark).drop("date")
+    assert rows_of(hours) == rows_of(ads.sliding_hour(log))
+
+
+def test_no_click_is_lost_when_parts_have_uneven_files(spark, tmp_path):
+    """14 files of the first third of the time, then one of each other third, two a batch; the
+    last batches bring the oldest lines."""
+    folder, lines = f"{tmp_path}/feed", feed(spark, 400).persist()
+    hour = 3600 * 1000
+    part = F.floor((F.unix_millis("ts") - START) / (10 * hour))
+    for number, files in ((2, 1), (1, 1), (0, 14)):
+        rows = lines.where(part == number).select("value")
+        rows.repartition(files).write.mode("append").text(folder)
+    tables = AdTables(f"{tmp_path}/tables")
+    stream = file_lines(spark, folder, files_per_batch=2)
+    run(live.start_click_trend, stream, tables, f"{tmp_path}/a")
+    run(live.start_sliding_hour, stream, tables, f"{tmp_path}/b")
+    log = parse_ad_log(lines)
+    assert rows_of(tables.trend.read(spark)) == rows_of(ads.click_trend(log))
+    assert rows_of(tables.hours.read(spark).drop("date")) == rows_of(ads.sliding_hour(log))
+    lines.unpersist()
+
+
+def test_processing_time_trigger_goes_on_until_stopped(spark, tmp_path):
+    folder, tables = f"{tmp_path}/feed", AdTables(f"{tmp_path}/tables")
+    write_lines(spark, folder, f"{START} 1 1 1 1")
+    query = live.start_click_trend(file_lines(spark, folder), tables, f"{tmp_path}/checkpoint")
+    try:
+        query.processAllAvailable()
+        write_lines(spark, folder, f"{START} 1 1 1 1")
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    assert rows_of(tables.trend.read(spark)) == [("20200501", "10", "00", 1, 2)]
 
 
 def write_lines(spark, path, *lines):
@@ -118,34 +152,17 @@ def test_replayed_batch_changes_nothing(spark, tmp_path):
     assert state() == once
 
 
-def test_late_line_is_counted_by_the_job_and_left_out_by_ended_state(spark, tmp_path):
+def test_late_line_is_counted_in_its_own_minute(spark, tmp_path):
     folder = f"{tmp_path}/feed"
     hour = 3600 * 1000
-    job, state = AdTables(f"{tmp_path}/job"), AdTables(f"{tmp_path}/state", stateful=True)
+    job, trend = AdTables(f"{tmp_path}/job"), AdTables(f"{tmp_path}/trend")
     for at in (START, START + 5 * hour, START):
         write_lines(spark, folder, f"{at} 1 1 1 1")
         run(live.start_ad_job, file_lines(spark, folder), job, f"{tmp_path}/a")
-        run(live.start_click_trend, file_lines(spark, folder), state, f"{tmp_path}/b")
+        run(live.start_click_trend, file_lines(spark, folder), trend, f"{tmp_path}/b")
     late = [("20200501", "10", "00", 1, 2), ("20200501", "15", "00", 1, 1)]
     assert rows_of(job.trend.read(spark)) == late
-    assert rows_of(state.trend.read(spark)) == [("20200501", "10", "00", 1, 1), late[1]]
-
-
-def test_sliding_hour_stream_sends_final_windows(spark, tmp_path):
-    lines = feed(spark, 200)
-    frame = live.sliding_hour_stream(replay(lines, f"{tmp_path}/feed", 4))
-    out = f"{tmp_path}/out"
-    query = (
-        frame.writeStream.format("parquet").option("path", out).outputMode("append")
-        .option("checkpointLocation", f"{tmp_path}/checkpoint")
-        .trigger(availableNow=True).start()
-    )
-    query.awaitTermination()
-    sent = Counter(rows_of(spark.read.parquet(out)))
-    whole = Counter(rows_of(ads.sliding_hour(parse_ad_log(lines))))
-    assert sent and not sent - whole
-    last = max(k[0] for k in sent)
-    assert not Counter({k: 1 for k in whole if k[0] <= last}) - sent
+    assert rows_of(trend.trend.read(spark)) == late
 
 
 def test_kafka_source_needs_its_connector(spark):
