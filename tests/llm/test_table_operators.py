@@ -1,0 +1,353 @@
+"""Mixing, shards, top-k, near duplicates, repeats, passages and the pipeline."""
+
+from __future__ import annotations
+
+import hashlib
+import random
+import zlib
+from collections import Counter, defaultdict
+
+import numpy as np
+import pytest
+from conftest import TESTDATA
+from llm.edges import clashing, documents, texts
+from pyspark.sql import functions as F
+
+import corpus_pipeline
+from clickloom.llm import mixing, passages, repeats, shards, simhash, topk
+from clickloom.llm import queries as registered
+from clickloom.llm.components import components
+
+SF = f"{TESTDATA}/sf0.001"
+
+
+# --- mixing ------------------------------------------------------------------------------------
+
+def test_a_shortage_goes_to_siblings_before_ancestors():
+    supply = {("a", "x"): 10, ("a", "y"): 100, ("b", "x"): 100}
+    weights = {"domain": {"a": 0.5, "b": 0.5}, "lang": {"x": 0.5, "y": 0.5}}
+    got = mixing.budgets(supply, 100, ["domain", "lang"], weights, 1)
+    assert got == {("a", "x"): 10, ("a", "y"): 40, ("b", "x"): 50}
+    got = mixing.budgets({("a", "x"): 10, ("a", "y"): 5, ("b", "x"): 100}, 100, ["domain", "lang"], weights, 1)
+    assert got == {("a", "x"): 10, ("a", "y"): 5, ("b", "x"): 85}
+    assert mixing.budgets({("a",): 3}, 100, ["domain"], {}, 2) == {("a",): 6}
+    assert mixing.budgets({}, 100, ["domain"], {}, 2) == {}
+    assert mixing.share(7, [1, 1, 0], [9, 9, 9]) == [4, 3, 0]
+    assert sum(mixing.share(10, [1e-9, 1, 1], [3, 4, 5])) == 10
+
+
+@pytest.mark.parametrize("bucket_rows", [5, 4096])
+def test_mix_takes_prefixes_of_seeded_epochs(spark, monkeypatch, bucket_rows):
+    monkeypatch.setattr(mixing, "BUCKET_ROWS", bucket_rows)
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select(
+        "doc_id", "lang", "source", registered.domain().alias("d"), mixing.words("text").alias("w"))
+    supply, leaf = defaultdict(int), defaultdict(list)
+    for r in docs.collect():
+        supply[r.d, r.lang, r.source] += max(1, r.w)
+        leaf[r.d, r.lang, r.source].append((r.doc_id, max(1, r.w)))
+    given = mixing.budgets(
+        dict(supply), sum(supply.values()), ["domain", "lang", "source"], registered.WEIGHTS, 3)
+    want = Counter()
+    for path, members in leaf.items():
+        whole, rest = divmod(given[path], supply[path])
+        want.update((i, e) for e in range(whole) for i, _ in members)
+        keyed = sorted((hashlib.md5(f"42:{whole}:{i}".encode()).hexdigest(), i, w) for i, w in members)
+        for _, i, w in keyed:
+            if rest > 0:
+                want[i, whole] += 1
+            rest -= w
+    got = Counter((r.doc_id, r.epoch) for r in registered.op4_mixing(spark, SF).collect())
+    assert got == want
+
+
+def test_mix_of_edge_rows(spark):
+    docs = clashing(documents(spark))
+    levels = {"lang": F.col("lang"), "source": F.col("source")}
+    all_of = mixing.mix(docs, levels, {}, 1.0, mixing.words("text"))
+    assert all_of.count() == len(texts()) and set(all_of.columns) == set(docs.columns)
+    twice = mixing.mix(docs, levels, {}, 2.0, mixing.words("text"), max_epochs=2)
+    assert twice.count() == 2 * len(texts())
+    assert mixing.mix(docs, levels, {}, 0.0, mixing.words("text")).count() == 0
+    assert mixing.mix(docs.limit(0), levels, {}, 1.0, mixing.words("text")).count() == 0
+
+
+# --- shards ------------------------------------------------------------------------------------
+
+@pytest.mark.parametrize("bucket_rows", [7, 4096])
+def test_shards_interleave_sources(spark, monkeypatch, bucket_rows):
+    monkeypatch.setattr(shards, "BUCKET_ROWS", bucket_rows)
+    rows = spark.read.parquet(f"{SF}/documents.parquet").collect()
+    by = defaultdict(list)
+    for r in rows:
+        by[r.source].append((hashlib.md5(f"42:{r.doc_id}".encode()).hexdigest(), r.doc_id))
+    placed = sorted(
+        ((k + 0.5) / len(v), key, i) for v in by.values() for k, (key, i) in enumerate(sorted(v)))
+    want, sizes = {}, Counter()
+    for place, (_, _, i) in enumerate(placed):
+        shard = place * 16 // len(placed)
+        want[i] = (shard, sizes[shard])
+        sizes[shard] += 1
+    text = {r.doc_id: (r.text or "").encode() for r in rows}
+    got = registered.op5_shards(spark, SF).collect()
+    assert {r.doc_id: (r.shard, r.slot) for r in got} == want
+    assert all((r.size, r.text_crc32) == (len(text[r.doc_id]) + 1, zlib.crc32(text[r.doc_id])) for r in got)
+    assert max(sizes.values()) - min(sizes.values()) <= 1
+
+
+def test_shards_of_edge_rows(spark):
+    docs = clashing(documents(spark))
+    got = shards.interleaved_shards(docs, 3, tie=["n_chars"])
+    assert set(got.columns) == set(docs.columns)
+    slots = defaultdict(list)
+    for r in got.collect():
+        slots[r.shard].append(r.slot)
+    assert sorted(map(len, slots.values())) == [7, 7, 8]
+    assert all(sorted(v) == list(range(len(v))) for v in slots.values())
+    assert shards.interleaved_shards(docs.limit(0), 3).count() == 0
+    few = shards.interleaved_shards(docs.limit(2), 16)
+    assert few.count() == 2 and few.where("slot <> 0").count() == 0
+
+
+# --- top k -------------------------------------------------------------------------------------
+
+def vectors(spark, rows):
+    return spark.createDataFrame(rows, "vec_id bigint, embedding array<float>, rank int")
+
+
+@pytest.mark.parametrize("block", [3, 8192])
+def test_top_k_of_edge_rows(spark, monkeypatch, block):
+    monkeypatch.setattr(topk, "CANDIDATE_BLOCK", block)
+    monkeypatch.setattr(topk, "QUERY_BLOCK", block)
+    rng = random.Random(1)
+    rows = [(i, [rng.choice([-0.5, 0.0, 0.25]) for _ in range(4)], 0) for i in range(23)]
+    rows += [(100, [1.0, 1.0, 1.0, 1.0], 0), (101, None, 0), (102, [1.0, None], 0), (103, [float("nan")] * 4, 0),
+             (200, [float("inf")] * 4, 0), (104, [], 0), (105, [0.5], 0), (None, [1.0] * 4, 0), (300, [3e38], 0)]
+    got = topk.top_k(vectors(spark, rows), F.col("vec_id") % 100 == 0, k=5)
+    usable = [(i, [int(np.floor(1024 * float(np.float32(x)))) for x in v]) for i, v, _ in rows
+              if i is not None and v is not None and all(x is not None and np.isfinite(x) for x in v)]
+    want = []
+    for q, a in usable:
+        if q % 100 == 0:
+            scores = [(max(-2**63, min(2**63 - 1, sum(min(2**63 - 1, x) * min(2**63 - 1, y) for x, y in zip(a, b)))), i)
+                      for i, b in usable if i != q]
+            best = sorted(scores, key=lambda s: (-s[0], s[1]))[:5]
+            want += [(q, k + 1, i, s) for k, (s, i) in enumerate(best)]
+    assert sorted(map(tuple, got.collect())) == sorted(want)
+    empty = vectors(spark, rows).limit(0)
+    assert topk.top_k(empty, F.col("vec_id") % 100 == 0).count() == 0
+    assert topk.top_k(vectors(spark, rows[:1]), F.col("vec_id") % 100 == 0).count() == 0
+
+
+# --- near duplicates ---------------------------------------------------------------------------
+
+def smallest_reachable(nodes, links):
+    parent = {n: n for n in nodes}
+
+    def find(n):
+        while parent[n] != n:
+            n = parent[n]
+        return n
+
+    for a, b in links:
+        a, b = find(a), find(b)
+        parent[max(a, b)] = min(a, b)
+    return {n: find(n) for n in nodes}
+
+
+def test_components_of_chains_and_stars(spark):
+    rng = random.Random(3)
+    links = [(i, i + 1) for i in range(40)] + [(100, 100 + i) for i in range(1, 60)] + [(7, 7)]
+    links += [(rng.randrange(200, 400), rng.randrange(200, 400)) for _ in range(90)]
+    rng.shuffle(links)
+    want = smallest_reachable({n for link in links for n in link}, links)
+    got = components(spark.createDataFrame(links, "a bigint, b bigint")).collect()
+    assert {r.id: r.component for r in got} == {n: c for n, c in want.items() if n != c}
+    assert components(spark.createDataFrame([], "a bigint, b bigint")).count() == 0
+
+
+@pytest.mark.parametrize("block", [2, 1024])
+def test_links_connect_all_near_fingerprints(spark, monkeypatch, block):
+    monkeypatch.setattr(simhash, "BLOCK", block)
+    rng = random.Random(9)
+    centres = [rng.getrandbits(64) for _ in range(6)]
+    found = {rng.getrandbits(64) for _ in range(60)} | {0}
+    for c in centres:
+        for _ in range(25):
+            x = c
+            for bit in rng.sample(range(64), rng.randrange(7)):
+                x ^= 1 << bit
+            found.add(x)
+    fps = sorted(found)
+    links = [(i, j) for i in range(len(fps)) for j in range(i) if (fps[i] ^ fps[j]).bit_count() <= 3]
+    want = smallest_reachable(range(len(fps)), links)
+    signed = [(int(np.uint64(f).astype(np.int64)), i) for i, f in enumerate(fps)]
+    got = components(simhash.links(spark.createDataFrame(signed, "fp bigint, node bigint"))).collect()
+    assert {r.id: r.component for r in got} == {n: c for n, c in want.items() if n != c}
+
+
+def plain_fingerprint(text):
+    import xxhash
+
+    words = (text or "").encode().lower().split()
+    if not words:
+        return 0
+    parts = [b" ".join(words[i : i + 3]) for i in range(len(words) - 2)] or [b" ".join(words)]
+    hashes = [xxhash.xxh64_intdigest(p, 42) for p in parts]
+    return sum(1 << b for b in range(64) if 2 * sum(h >> b & 1 for h in hashes) > len(hashes))
+
+
+def test_near_groups_of_edge_rows(spark):
+    docs = clashing(documents(spark))
+    rows = texts()
+    fps = [plain_fingerprint(t) for _, t in rows]
+    links = [(i, j) for i in range(len(rows)) for j in range(i) if (fps[i] ^ fps[j]).bit_count() <= 3]
+    group = smallest_reachable(range(len(rows)), links)
+    low = defaultdict(list)
+    for k, g in group.items():
+        if rows[k][0] is not None:
+            low[g].append(rows[k][0])
+    want = Counter(
+        (rows[k][0], int(np.uint64(fps[k]).astype(np.int64)), min(low[g])) for k, g in group.items())
+    got = simhash.near_groups(docs).select("doc_id", "fingerprint", "component_id").collect()
+    assert Counter(map(tuple, got)) == want
+    assert simhash.near_groups(docs.limit(0)).count() == 0
+
+
+# --- repeats -----------------------------------------------------------------------------------
+
+def plain_removal(rows, length):
+    data = [(t or "").encode() for _, t in rows]
+    seen = Counter(d[p : p + length] for d in data for p in range(len(d) - length + 1))
+    out = []
+    for d in data:
+        gone = bytearray(len(d))
+        for p in range(len(d) - length + 1):
+            if seen[d[p : p + length]] > 1:
+                gone[p : p + length] = b"\1" * length
+        runs, at = [], 0
+        while (start := gone.find(1, at)) >= 0:
+            end = gone.find(0, start)
+            at = len(d) if end < 0 else end
+            runs.append((start, at))
+        out.append((bytes(x for x, g in zip(d, gone) if not g), runs))
+    return out
+
+
+@pytest.mark.parametrize("most", [1, 1024])
+def test_repeats_of_edge_rows(spark, monkeypatch, most):
+    monkeypatch.setattr(repeats, "MAX_RUNS", most)
+    monkeypatch.setattr(repeats, "PIECE", 3000)
+    rows = [(i, t if t is None or len(t) < 50_000 else t[:20_000] + t[-100:]) for i, t in texts()]
+    rows += [(30, "ab" * 700), (31, "xyz" * 133 + "x"), (32, "q" * 401), (33, "q" * 400), (34, "é" * 300)]
+    docs = clashing(documents(spark, rows))
+    out = repeats.remove_repeats(docs)
+    assert set(out.columns) == set(docs.columns)
+    want = Counter(
+        (i, kept, tuple(runs)) for (i, _), (kept, runs) in zip(rows, plain_removal(rows, repeats.LENGTH)))
+    got = Counter(
+        (r.doc_id, bytes(r.kept), tuple((s.start, s.end) for s in r.removed)) for r in out.collect())
+    assert got == want
+    assert repeats.remove_repeats(docs.limit(0)).count() == 0
+
+
+def test_query_of_repeats(spark):
+    rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{SF}/documents.parquet").collect()]
+    want = {
+        i: (len((t or "").encode()), sum(e - s for s, e in runs), len(runs), hashlib.sha256(kept).hexdigest())
+        for (i, t), (kept, runs) in zip(rows, plain_removal(rows, repeats.LENGTH))
+    }
+    got = registered.op7_repeats(spark, SF).collect()
+    assert {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in got} == want
+
+
+# --- passages ----------------------------------------------------------------------------------
+
+def test_best_chain_is_that_of_all_orders():
+    rng = random.Random(8)
+    for _ in range(60):
+        points = sorted({(rng.randrange(60), rng.randrange(60)) for _ in range(rng.randrange(2, 14))},
+                        key=lambda p: (p[0], -p[1]))
+        best = [passages.GAIN] * len(points)
+        for j, (x, y) in enumerate(points):
+            for i, (u, v) in enumerate(points[:j]):
+                if u < x and v < y:
+                    gap = passages.GAP_COST * (x - u + y - v)
+                    best[j] = max(best[j], best[i] + passages.GAIN - gap)
+        found = passages.chains(*map(np.array, zip(*points)))
+        if max(best) > passages.GAIN:
+            chain = [points[k] for k in found[0]]
+            gain = passages.GAIN * len(chain) - sum(
+                passages.GAP_COST * (x - u + y - v) for (u, v), (x, y) in zip(chain, chain[1:]))
+            assert abs(gain - max(best)) < 1e-6
+
+
+def test_aligned_is_the_longest_common_subsequence():
+    assert passages.aligned([b"a", b"b", b"c"], [b"a", b"x", b"c"]) == 2
+    assert passages.aligned([], [b"a"]) == 0
+    assert passages.aligned([b"a", b"b", b"c", b"d"], [b"b", b"d"]) == 2
+
+
+def test_passages_of_edge_rows(spark):
+    docs = clashing(documents(spark))
+    found = passages.repeated_passages(docs).collect()
+    pairs = {(r.doc_id, r.other_id) for r in found}
+    assert {(5, 19), (19, 5)} <= pairs and pairs == {(b, a) for a, b in pairs}
+    linked = {r.doc_id for r in found}
+    assert linked == {5, 19, 10, 11, 12, 13, 14, 16}
+    words = {i: passages.split(t) for i, t in texts()}
+    for r in found:
+        a, b = words[r.doc_id][r.start : r.end], words[r.other_id][r.other_start : r.other_end]
+        assert min(len(a), len(b)) >= passages.MIN_WORDS and 0.8 <= r.identity <= 1
+    assert passages.repeated_passages(docs.limit(0)).count() == 0
+
+
+def test_every_long_repeat_lies_in_a_passage(spark):
+    rows = spark.read.parquet(f"{SF}/documents.parquet").collect()
+    words = {r.doc_id: passages.split(r.text) for r in rows}
+    seen, n = defaultdict(set), passages.MIN_WORDS + 1
+    for i, w in words.items():
+        for p in range(len(w) - n + 1):
+            seen[tuple(w[p : p + n])].add(i)
+    covered = defaultdict(set)
+    for r in registered.op9_passages(spark, SF).collect():
+        covered[r.doc_id].update(range(r.start, r.end))
+    checked = 0
+    for i, w in words.items():
+        for p in range(len(w) - n + 1):
+            if len(seen[tuple(w[p : p + n])]) > 1:
+                checked += 1
+                assert covered[i].issuperset(range(p, p + n))
+    assert checked
+
+
+# --- pipeline ----------------------------------------------------------------------------------
+
+def test_pipeline_equals_its_stages_done_plainly(spark):
+    sf = f"{TESTDATA}/sf0.01"
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    names = [name for name, _ in corpus_pipeline.STAGES]
+    assert names == ["quality", "exact", "near", "mixture", "pieces"]
+    label = {r.doc_id: r.quality for r in spark.read.parquet(f"{sf}/labels.parquet").collect()}
+    kept = {}
+    for name, stage in corpus_pipeline.STAGES:
+        docs = corpus_pipeline.written(stage(spark, docs, sf), f"test-{name}")
+        kept[name] = docs.collect()
+        if name != "pieces":
+            assert docs.columns == ["doc_id", "text", "lang", "source", "n_chars"]
+    good = {r.doc_id for r in kept["quality"]}
+    known = [(i in good) == bool(q) for i, q in label.items()]
+    assert sum(known) / len(known) > 0.97
+    last = {}
+    for r in kept["quality"]:
+        key = r.text.encode().lower()
+        last[key] = max(last.get(key, -1), r.doc_id)
+    assert {r.doc_id for r in kept["exact"]} == set(last.values())
+    fps = {r.doc_id: plain_fingerprint(r.text) for r in kept["exact"]}
+    ids = sorted(fps)
+    links = [(a, b) for a in ids for b in ids if a < b and (fps[a] ^ fps[b]).bit_count() <= 3]
+    assert {r.doc_id for r in kept["near"]} == set(smallest_reachable(ids, links).values())
+    assert {r.doc_id for r in kept["mixture"]} < {r.doc_id for r in kept["near"]}
+    words = {r.doc_id: len(r.text.split()) for r in kept["near"]}
+    share = sum(words[r.doc_id] for r in kept["mixture"]) / sum(words.values())
+    assert abs(share - corpus_pipeline.SHARE) < 0.03
+    assert len(kept["pieces"]) == len(kept["mixture"]) and all(r.decodes for r in kept["pieces"])
