@@ -38,11 +38,7 @@ def sample_sessions(sessions: DataFrame, total: int = 100, seed: str = "") -> Da
     quotas = hour_quotas(sessions, total).select("date", "hour", "quota")
     candidates = _dated(sessions).join(broadcast_up_to(quotas, total), ["date", "hour"])
     order = [F.md5(F.concat("session_id", F.lit(seed))), "session_id"]
-    return (
-        ranked(candidates, ["date", "hour"], order, total, "session_id")
-        .where(F.col(RANK) <= F.col("quota"))
-        .drop(RANK)
-    )
+    return ranked(candidates, ["date", "hour"], order, total, "session_id", "quota").drop(RANK)
 
 
 def session_extract(

@@ -126,10 +126,19 @@ def session_rollup(actions: DataFrame) -> DataFrame:
     typed = with_action_ts(actions)
     keyword = F.when(is_not_empty(F.col("search_keyword")), F.col("search_keyword"))
     category = F.when(F.col("click_category_id") != NO_CLICK, F.col("click_category_id"))
-    rolled = typed.groupBy("session_id").agg(
-        *[c.alias(name) for name, c in _session_basics(typed).items()],
-        distinct_list(keyword).alias("search_keywords"),
-        distinct_list(category).alias("click_category_ids"),
+    # First one row for each keyword and category of a session, with buffers of fixed size; the lists
+    # are then made of these rows, however many actions there are.
+    parts = typed.groupBy("session_id", keyword.alias("_keyword"), category.alias("_category")).agg(
+        *[c.alias(name) for name, c in _session_basics(typed).items()]
+    )
+    known = F.when(F.col("user_id") != -1, F.col("user_id"))
+    rolled = parts.groupBy("session_id").agg(
+        F.coalesce(F.min(known), F.lit(-1).cast("bigint")).alias("user_id"),
+        F.min("start_ts").alias("start_ts"),
+        F.max("end_ts").alias("end_ts"),
+        F.sum("step_length").alias("step_length"),
+        distinct_list(F.col("_keyword")).alias("search_keywords"),
+        distinct_list(F.col("_category")).alias("click_category_ids"),
     )
     return rolled.select(
         "session_id", "user_id", "search_keywords", "click_category_ids",

@@ -62,6 +62,30 @@ STREAMS = {"ad_user_click_count", "ad_blacklist", "ad_stat", "ad_province_top3",
            "ad_job_province_top3", "ad_job_click_trend", "sink_round_trip"}
 
 
+def test_batches_of_the_streams_multiply_no_rows(spark, tmp_path):
+    """What a micro-batch of the ad job reads and writes, on stored tables with some days."""
+    from clickloom.operators import ads
+    from clickloom.streaming import ads as live
+    from clickloom.streaming.tables import AdTables
+
+    log = registered._log(spark, SF)
+    tables = AdTables(f"{tmp_path}/tables")
+    tables.stat.write_batch(ads.ad_stat(log), 0)
+    tables.blacklist.write_batch(log.select("userid").limit(3), 0)
+    changed = tables.stat.read_batch(spark, 0)
+    stored = tables.stat.read(
+        spark, before=1, days=live._days_of(changed), only=changed.select("date", "province").distinct())
+    clean = ads.not_blacklisted(log, tables.blacklist.read(spark, before=1))
+    for frame in (
+        clean, ads.user_ad_clicks(clean), ads.ad_stat(clean), ads.click_trend(clean),
+        ads.sliding_hour(clean), ads.province_top_ads(stored), ads.users_over(ads.user_ad_clicks(clean)),
+    ):
+        plan = planned(frame)
+        assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+        assert "PythonUDF" not in plan and "EvalPython" not in plan
+    assert "PartitionFilters: [" in planned(stored)
+
+
 def test_date_range_and_click_condition_reach_the_scan(spark, actions, tmp_path):
     actions({"click_product_id": 1}).write.parquet(f"{tmp_path}/a")
     table = read_actions(spark, f"{tmp_path}/a")

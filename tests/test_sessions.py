@@ -105,6 +105,16 @@ def test_filters(scene, conditions, kept):
     assert [r[0] for r in rows_of(sessions.filtered_actions(acts, lean), "session_id")] == expected
 
 
+def test_a_search_of_several_words_hits_by_each_of_them(actions, users):
+    acts = actions({"session_id": "s1", "user_id": 1, "search_keyword": "green,tea"})
+    people = users(*PEOPLE)
+    info = sessions.session_full_info(sessions.session_rollup(acts), people)
+    for word, kept in (("tea", 1), ("green", 1), ("green,tea", 1), ("gre", 0)):
+        wanted = SessionFilter(keywords=word)
+        assert sessions.kept_sessions(acts, people, wanted).count() == kept
+        assert sessions.filter_sessions(info, wanted).count() == kept
+
+
 def test_filter_from_parameters():
     given = SessionFilter.from_params({
         "startDate": "2020-05-01", "startAge": 20, "endAge": 50, "professionals": "",
