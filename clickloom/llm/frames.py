@@ -43,23 +43,31 @@ def put(batch: pa.RecordBatch, name: str, values: pa.Array) -> pa.RecordBatch:
     return batch.append_column(name, values)
 
 
-def with_column_of(
-    df: DataFrame, source: str, target: str, kind: T.DataType, values: Callable[[pa.Array], pa.Array]
+def with_columns_of(
+    df: DataFrame, source: str, targets: dict[str, T.DataType],
+    values: Callable[[pa.Array], list[pa.Array]],
 ) -> DataFrame:
-    """`target` computed from `source`, a few rows at a time; an old `target` is replaced."""
+    """Columns computed from `source`, a few rows at a time; old ones of these names are replaced."""
 
     def apply(batches: Batches) -> Batches:
         for batch in slices(batches):
-            yield put(batch, target, values(batch.column(batch.schema.get_field_index(source))))
+            found = values(batch.column(batch.schema.get_field_index(source)))
+            for target, column in zip(targets, found):
+                batch = put(batch, target, column)
+            yield batch
 
-    fields = [f for f in df.schema.fields if f.name != target]
-    if len(fields) < len(df.schema.fields):
-        fields = [T.StructField(target, kind) if f.name == target else f for f in df.schema.fields]
-    else:
-        fields = [*fields, T.StructField(target, kind)]
+    fields = [T.StructField(f.name, targets.get(f.name, f.dataType)) for f in df.schema.fields]
+    fields += [T.StructField(n, kind) for n, kind in targets.items() if n not in df.columns]
     return df.mapInArrow(apply, T.StructType(fields))
 
 
+def with_column_of(
+    df: DataFrame, source: str, target: str, kind: T.DataType, values: Callable[[pa.Array], pa.Array]
+) -> DataFrame:
+    """One column computed from `source`, as `with_columns_of` does."""
+    return with_columns_of(df, source, {target: kind}, lambda column: [values(column)])
+
+
 def ascii_lower(column) -> F.Column:
     """A-Z lowered, every other character as it is."""
     return F.translate(column, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")

@@ -20,10 +20,11 @@ from functools import lru_cache
 import ahocorasick
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from clickloom.llm.frames import with_column_of
+from clickloom.llm.frames import with_column_of, with_columns_of
 
 SPACE = "▁"
 # Kinds of pieces in a model file, the text of an unknown piece, the only kind of model.
@@ -76,12 +77,14 @@ class PieceDecoder:
             else:
                 self.surface[i] = proto.trainer_spec.unk_surface
         self.byte_of = {i: b for b, i in enumerate(self.byte_ids)}
-        self.high_bytes = set(self.byte_ids[128:])
+        self.is_high_byte = np.zeros(len(proto.pieces), bool)
+        self.is_high_byte[self.byte_ids[128:]] = True
 
-    def decode(self, ids: list[int]) -> str:
+    def decode(self, found: np.ndarray) -> str:
         """Text of ids. One space at the very beginning is the dummy prefix and goes."""
         surface, byte_of = self.surface, self.byte_of
-        if self.high_bytes.isdisjoint(ids):
+        ids = found.tolist()
+        if not self.is_high_byte[found].any():
             text = "".join(map(surface.__getitem__, ids))
             first = next((i for i in ids if self.kind[i] != CONTROL), None)
         else:
@@ -240,27 +243,44 @@ def read_model(path: str) -> bytes:
         return f.read()
 
 
-def encode_pieces(df: DataFrame, model: bytes, text: str = "text", ids: str = "ids") -> DataFrame:
+IDS = T.ArrayType(T.IntegerType())
+
+
+def _encoded(texts: pa.Array, model: bytes) -> pa.ListArray:
+    encode = _encoder(model).encode
+    each = [encode(t or "") for t in texts.to_pylist()]
+    ends = np.cumsum([0, *map(len, each)], dtype=np.int32)
+    flat = np.concatenate(each) if each else np.zeros(0, np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))
+
+
+def _decoded(arrays: pa.Array, decoder: PieceDecoder) -> pa.Array:
+    flat = arrays.flatten().to_numpy()
+    sizes = pc.fill_null(pc.list_value_length(arrays), 0).to_numpy()
+    texts = [decoder.decode(flat[end - size : end]) for end, size in zip(np.cumsum(sizes), sizes)]
+    return pa.array(texts, pa.string())
+
+
+def encode_pieces(
+    df: DataFrame, model: bytes, text: str = "text", ids: str = "ids", decoded: str | None = None
+) -> DataFrame:
     """Adds the ids of `text`, an array of int; null and empty texts get an empty array.
 
-    An existing column `ids` is replaced; all other columns stay.
+    With `decoded` the text that the ids decode to is added as well, in the same pass. Existing
+    columns of these names are replaced; all other columns stay.
     """
+    if decoded is None:
+        return with_column_of(df, text, ids, IDS, lambda texts: _encoded(texts, model))
 
-    def values(texts: pa.Array) -> pa.Array:
-        encode = _encoder(model).encode
-        each = [encode(t or "") for t in texts.to_pylist()]
-        ends = np.cumsum([0, *map(len, each)], dtype=np.int32)
-        flat = np.concatenate(each) if each else np.zeros(0, np.int32)
-        return pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))
+    def both(texts: pa.Array) -> list[pa.Array]:
+        found = _encoded(texts, model)
+        return [found, _decoded(found, _encoder(model))]
 
-    return with_column_of(df, text, ids, T.ArrayType(T.IntegerType()), values)
+    return with_columns_of(df, text, {ids: IDS, decoded: T.StringType()}, both)
 
 
 def decode_pieces(df: DataFrame, model: bytes, ids: str = "ids", text: str = "text") -> DataFrame:
     """Adds the text of `ids`; null gives an empty text. An existing column `text` is replaced."""
-
-    def values(arrays: pa.Array) -> pa.Array:
-        decode = _decoder(model).decode
-        return pa.array([decode(i) if i else "" for i in arrays.to_pylist()], pa.string())
-
-    return with_column_of(df, ids, text, T.StringType(), values)
+    return with_column_of(
+        df, ids, text, T.StringType(), lambda arrays: _decoded(arrays, _decoder(model))
+    )

@@ -10,7 +10,7 @@ from clickloom.llm.exact import exact_groups
 from clickloom.llm.frames import sha256_hex, table
 from clickloom.llm.mixing import mix, words
 from clickloom.llm.passages import repeated_passages
-from clickloom.llm.pieces import decode_pieces, encode_pieces, read_model
+from clickloom.llm.pieces import encode_pieces, read_model
 from clickloom.llm.quality import fit, with_score
 from clickloom.llm.repeats import remove_repeats
 from clickloom.llm.secrets import BASE, as_text, find_secrets, of_kinds
@@ -26,9 +26,7 @@ PIECES = "piece_bpe_32k.model"
 def op1_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = read_model(public_tokenizers.path(PIECES))
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    encoded = encode_pieces(docs, model).select("doc_id", "ids")
-    decoded = decode_pieces(encoded, model, text="decoded")
-    return decoded.select(
+    return encode_pieces(docs, model, decoded="decoded").select(
         "doc_id",
         F.size("ids").cast("bigint").alias("n_tokens"),
         sha256_hex(F.concat_ws(",", F.col("ids").cast("array<string>"))).alias("ids_sha256"),

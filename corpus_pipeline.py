@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from clickloom.llm.exact import exact_dedup
 from clickloom.llm.frames import table, written
 from clickloom.llm.mixing import mix, words
-from clickloom.llm.pieces import decode_pieces, encode_pieces, read_model
+from clickloom.llm.pieces import encode_pieces, read_model
 from clickloom.llm.quality import fit, with_score
 from clickloom.llm.queries import PIECES, WEIGHTS, levels
 from clickloom.llm.simhash import near_groups
@@ -50,9 +50,8 @@ def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def pieces(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Ids of every document, and whether they decode to its text again."""
     model = read_model(public_tokenizers.path(PIECES))
-    encoded = encode_pieces(docs.select("doc_id", "lang", "source", "text"), model)
-    decoded = decode_pieces(encoded, model, text="decoded")
-    return decoded.select(
+    docs = docs.select("doc_id", "lang", "source", "text")
+    return encode_pieces(docs, model, decoded="decoded").select(
         "doc_id", "lang", "source", "ids", F.size("ids").cast("bigint").alias("n_tokens"),
         (F.col("decoded") == F.coalesce("text", F.lit(""))).alias("decodes"),
     )
