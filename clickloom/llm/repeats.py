@@ -188,8 +188,8 @@ def _settle(table: pa.Table) -> pa.RecordBatch:
     new = np.ones(len(hit), bool)
     new[1:] = (run[hit[1:]] != run[hit[:-1]]) | (hit[1:] != hit[:-1] + 1)
     first = np.flatnonzero(new)
-    last = np.append(first[1:], len(hit)) - 1
-    of = run[hit[first]] if len(hit) else np.zeros(0, np.int64)
+    last = np.append(first[1:], len(hit))[: len(first)] - 1
+    of = run[hit[first]]
     return pa.record_batch({
         "id": rows["id"][of], "h": rows["h"][of],
         "start": rows["start"][of] + within[hit[first]],
