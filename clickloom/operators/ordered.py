@@ -2,8 +2,8 @@
 
 A window over a whole group puts the group into one task, so one session or user with a third
 of all rows would hold up the job. Here time is cut twice. Rows meet in windows of one second of
-a group. Each second then is one row with its edges, which a plain aggregation makes, combined before
-the shuffle; seconds meet in windows of one hour, at most 3600 rows, and hours in a window over the group.
+a group. Each second then is one row with its edges; seconds meet in windows of one hour, at most 3600
+rows, and hours in a window over the group.
 A group with very many rows within an hour, or even within minutes, is cut as well as one that spans a
 month. The results are those of the plain window.
 """
@@ -43,31 +43,43 @@ def successor_pairs(
         group, value, *[c for c in order if c not in (group, value)],
         time_slice(F.col(ts), slice_seconds).alias("_slice"),
     )
-    inside = Window.partitionBy(group, "_slice").orderBy(*order)
-    pairs = sliced.select(
-        value, F.lead(value).over(inside).alias("next_value"),
-        F.lead(F.lit(True)).over(inside).alias("_more"),
-    ).where("_more").drop("_more")
+    seen = _with_next(sliced, [group, "_slice"], order, value, value)
+    pairs = seen.where("_more").select(value, F.col("_next").alias("next_value"))
+
+    # Below each window its rows lie together already, so these sums need no shuffle of their own.
+    span = F.floor(F.col("_slice") / F.lit(max(1, span_seconds // slice_seconds)))
+    slices = _edges(seen, [group, "_slice"], value, value).withColumn("_span", span)
+    met = _with_next(slices, [group, "_span"], ["_slice"], "_last", "_first")
+    bridges = met.where("_more").select(F.col("_last").alias(value), F.col("_next").alias("next_value"))
+
+    spans = _edges(met, [group, "_span"], "_first", "_last")
+    jumps = _with_next(spans, [group], ["_span"], "_last", "_first")
+    if not with_last:
+        jumps = jumps.where("_more")
+    return pairs.unionByName(bridges).unionByName(
+        jumps.select(F.col("_last").alias(value), F.col("_next").alias("next_value"))
+    )
 
-    place = F.struct(*order)
-    slices = sliced.groupBy(group, "_slice").agg(
-        F.min_by(F.struct(value), place).alias("_first"),
-        F.max_by(F.struct(value), place).alias("_last"),
-    ).withColumn("_span", F.floor(F.col("_slice") / F.lit(max(1, span_seconds // slice_seconds))))
-    within = Window.partitionBy(group, "_span").orderBy("_slice")
-    bridges = slices.select("_last", F.lead("_first").over(within).alias("_next"))
 
-    spans = slices.groupBy(group, "_span").agg(
-        F.min_by("_first", "_slice").alias("_first"), F.max_by("_last", "_slice").alias("_last")
+def _with_next(
+    rows: DataFrame, group: Sequence[str], order: Sequence[str], value: str, next_value: str
+) -> DataFrame:
+    """Adds `_next`, the next row's `next_value`, `_more`, whether there is one, and `_begins`."""
+    window = Window.partitionBy(*group).orderBy(*order)
+    return rows.select(
+        "*",
+        F.lead(next_value).over(window).alias("_next"),
+        F.lead(F.lit(True)).over(window).isNotNull().alias("_more"),
+        (F.row_number().over(window) == 1).alias("_begins"),
     )
-    across = Window.partitionBy(group).orderBy("_span")
-    jumps = spans.select("_last", F.lead("_first").over(across).alias("_next"))
-    found = bridges.where("_next IS NOT NULL").unionByName(
-        jumps if with_last else jumps.where("_next IS NOT NULL")
+
+
+def _edges(seen: DataFrame, group: Sequence[str], first: str, last: str) -> DataFrame:
+    """One row per group of `seen`: the value of its first and of its last row."""
+    return seen.groupBy(*group).agg(
+        F.max(F.when(F.col("_begins"), F.col(first))).alias("_first"),
+        F.max(F.when(~F.col("_more"), F.col(last))).alias("_last"),
     )
-    return pairs.unionByName(found.select(
-        F.col(f"_last.{value}").alias(value), F.col(f"_next.{value}").alias("next_value")
-    ))
 
 
 def gap_sessions(
