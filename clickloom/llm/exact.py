@@ -60,8 +60,10 @@ def _bits(key: str) -> F.Column:
     )
 
 
-def with_possible(rows: DataFrame, found: RepeatFilter, key: str = "key") -> DataFrame:
-    """The second pass adds `possible`: whether another row may have the same key.
+def with_possible(
+    rows: DataFrame, found: RepeatFilter, key: str = "key", target: str = "possible"
+) -> DataFrame:
+    """The second pass adds `target`: whether another row may have the same key.
 
     The filter is broadcast, which its number of words bounds; no row is shuffled.
     """
@@ -76,7 +78,7 @@ def with_possible(rows: DataFrame, found: RepeatFilter, key: str = "key") -> Dat
         F.broadcast(filter), "_word", "left"
     )
     hit = F.coalesce(F.col("_bits").bitwiseAND(mask) == mask, F.lit(False))
-    return looked.withColumn("possible", hit).drop("_word", "_bits")
+    return looked.withColumn(target, hit).drop("_word", "_bits")
 
 
 def exact_groups(docs: DataFrame, text: str = "text", id: str = "doc_id") -> DataFrame:
@@ -113,13 +115,13 @@ def exact_dedup(docs: DataFrame, text: str = "text", id: str = "doc_id") -> Data
     found = possible_repeats(keyed)
     kept = (
         with_possible(keyed, found).where("possible")
-        .groupBy("text_sha256").agg(F.max(id).alias("_keep"))
+        .groupBy(F.col("text_sha256").alias("_same")).agg(F.max(id).alias("_keep"))
     )
     digest = _digest(text)
-    rows = with_possible(docs.withColumn("_key", _key(digest)), found, "_key")
-    alone = rows.where(~F.col("possible")).select(*columns)
-    repeated = rows.where("possible").select(*columns, digest.alias("_sha"))
-    same = (F.col("_sha") == F.col("text_sha256")) & F.col(id).eqNullSafe(F.col("_keep"))
+    rows = with_possible(docs.withColumn("_key", _key(digest)), found, "_key", "_possible")
+    alone = rows.where(~F.col("_possible")).select(*columns)
+    repeated = rows.where("_possible").select(*columns, digest.alias("_sha"))
+    same = (F.col("_sha") == F.col("_same")) & F.col(id).eqNullSafe(F.col("_keep"))
     stay = repeated.join(kept, same, "left_semi").dropDuplicates(["_sha"])
     return alone.unionByName(stay.select(*columns))
 
