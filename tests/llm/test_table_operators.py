@@ -320,6 +320,66 @@ def test_every_long_repeat_lies_in_a_passage(spark):
     assert checked
 
 
+def planted(rng, gap):
+    """Two texts of random words with two exact passages of 60 words, `gap` other words between."""
+    first, second = ([b"w%d" % rng.randrange(10**6) for _ in range(60)] for _ in range(2))
+
+    def other(n):
+        return [b"w%d" % rng.randrange(10**6) for _ in range(n)]
+
+    return [other(30) + first + other(gap) + second + other(30) for _ in range(2)]
+
+
+def matches_of(a, b):
+    seeds_a, seeds_b = passages.seeds(a), passages.seeds(b)
+    return np.array([
+        (x, y) for h, x in zip(*seeds_a) for g, y in zip(*seeds_b) if h == g]).reshape(-1, 2).T
+
+
+@pytest.mark.parametrize("gap", [1, 5, 10, 20, 40, 70, 100, 150, 200, 300, 500])
+def test_two_passages_are_found_whatever_lies_between(gap):
+    rng = random.Random(gap)
+    for _ in range(10):
+        a, b = planted(rng, gap)
+        found = passages.passages(a, b, *matches_of(a, b))
+        covered = {i for start, end, *_ in found for i in range(start, end)}
+        assert covered.issuperset([*range(30, 90), *range(90 + gap, 150 + gap)])
+        for start, end, other, other_end, identity in found:
+            assert min(end - start, other_end - other) >= passages.MIN_WORDS and 0.8 <= identity <= 1
+
+
+def test_parts_are_all_that_do_not_lie_in_a_longer_one():
+    rng = random.Random(3)
+    for _ in range(200):
+        runs, x, y = [], 0, 0
+        for _ in range(rng.randrange(1, 12)):
+            n = rng.randrange(1, 40)
+            runs.append((x, y, n))
+            x, y = x + n + rng.randrange(1, 15), y + n + rng.randrange(1, 15)
+        want = []
+        for i, (x, y, _) in enumerate(runs):
+            for j, (u, v, n) in enumerate(runs[i:], i):
+                size = max(u + n - x, v + n - y)
+                same = sum(r[2] for r in runs[i : j + 1]) / size
+                if min(u + n - x, v + n - y) >= passages.MIN_WORDS and same >= passages.IDENTITY:
+                    want.append((x, u + n, y, v + n, same))
+        want = [w for w in want if not any(o != w and o[0] <= w[0] and w[1] <= o[1] for o in want)]
+        assert passages.parts(runs) == want
+
+
+@pytest.mark.parametrize("size", [(30, 20), (150, 190), (700, 500), (5000, 4900)])
+def test_long_stretches_are_aligned(size):
+    rng = random.Random(4)
+    a = [b"w%d" % rng.randrange(10**6) for _ in range(size[0])]
+    b = [w if rng.random() < 0.9 else b"other" for w in a][: size[1]]
+    b += [b"tail"] * (size[1] - len(b))
+    same = sum(u == v for u, v in zip(a, b))
+    got = passages.aligned(a, b)
+    assert got <= same and got >= (same if max(size) <= 2 * passages.BAND else 0.7 * same)
+    for i, j, n in passages.equal_runs(a, b):
+        assert a[i : i + n] == b[j : j + n]
+
+
 # --- pipeline ----------------------------------------------------------------------------------
 
 def test_pipeline_equals_its_stages_done_plainly(spark):
