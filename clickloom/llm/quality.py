@@ -3,11 +3,12 @@
 Each preference pair is a document labelled 1 and one labelled 0. The chance that the first is
 preferred is the logistic function of the difference of two scores, and a score is linear in
 features of the text; so the weights come from a logistic loss on feature differences. A document
-is good when its score is above a threshold, the quantile of the labelled documents' scores that
-parts the two labels best.
+is good when its score is above a threshold, the quantile of all labelled documents' scores that
+parts the two labels best, each label with all its rows.
 
-The model is fitted on the driver on at most `per_label` documents of each label, chosen by a hash
-of the id; that sample is bounded whatever the size of the tables. Every text is scored whole.
+The weights are fitted on the driver on at most `per_label` documents of each label, chosen by a hash
+of the id; that sample is bounded whatever the size of the tables. The threshold is found by Spark
+from all labelled rows. Every text is scored whole.
 
 Null and empty texts have all features zero and get a score like any other. Labels other than 0 and 1,
 null labels and labels without a document are not used. With one label only, or none, all documents
@@ -16,12 +17,12 @@ score 0.5.
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from operator import eq
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -30,6 +31,7 @@ from clickloom.llm.frames import with_column_of
 PER_LABEL = 4000
 PAIRS = 20_000
 STEPS, RIDGE = 30, 1e-3
+BINS = 1024
 SEED = 42
 
 # Groups of bytes; each gives the share of the text's bytes in it.
@@ -81,8 +83,11 @@ class Ranking:
 
     def score(self, x: np.ndarray) -> np.ndarray:
         """Between 0 and 1; 0.5 at the threshold."""
-        raw = ((x - self.centre) / self.scale) @ self.weights - self.threshold
-        return 1 / (1 + np.exp(-np.clip(raw, -500, 500)))
+        return 1 / (1 + np.exp(-np.clip(self.raw(x) - self.threshold, -500, 500)))
+
+    def raw(self, x: np.ndarray) -> np.ndarray:
+        """The linear score; equal rows get equal ones, whatever rows they come with."""
+        return ((x - self.centre) / self.scale * self.weights).sum(axis=1)
 
 
 def learn(x: np.ndarray, label: np.ndarray, seed: int = SEED) -> Ranking:
@@ -107,8 +112,9 @@ def learn(x: np.ndarray, label: np.ndarray, seed: int = SEED) -> Ranking:
         weights += move
         if np.abs(move).max() < 1e-9:
             break
-    scores = z @ weights
-    return Ranking(centre, scale, weights, _threshold(scores[good], scores[bad]))
+    ranking = Ranking(centre, scale, weights, 0.0)
+    scores = ranking.raw(x)
+    return replace(ranking, threshold=_threshold(scores[good], scores[bad]))
 
 
 def _threshold(good: np.ndarray, bad: np.ndarray) -> float:
@@ -136,7 +142,7 @@ def fit(
     docs: DataFrame, labels: DataFrame, text: str = "text", id: str = "doc_id",
     label: str = "quality", per_label: int = PER_LABEL,
 ) -> Ranking:
-    """Learn from the labelled rows of `docs`, at most `per_label` of each label."""
+    """Learn from the labelled rows of `docs`: weights from at most `per_label` of each label."""
     marked = labels.where(F.col(label).isin(0, 1) & F.col(id).isNotNull()).select(
         id, F.col(label).alias("_label")
     )
@@ -151,7 +157,57 @@ def fit(
     if not len(rows):
         return learn(np.zeros((0, N_FEATURES)), np.zeros(0))
     rows = rows.sort_values([id, "_label"])
-    return learn(np.stack(rows["_features"].to_numpy()), rows["_label"].to_numpy())
+    x, values = np.stack(rows["_features"].to_numpy()), rows["_label"].to_numpy()
+    ranking = learn(x, values)
+    if len(set(values)) < 2:
+        return ranking
+    edges = np.unique(np.quantile(ranking.raw(x), np.linspace(0, 1, BINS + 1)[1:-1]))
+    # Only ids and scores meet the labels, no text.
+    scored = _with_raw(docs.select(id, text), ranking, text).select(id, "_raw").join(marked, id)
+    return replace(ranking, threshold=_threshold_of_all(scored, edges))
+
+
+def _with_raw(docs: DataFrame, ranking: Ranking, text: str) -> DataFrame:
+    def values(texts: pa.Array) -> pa.Array:
+        if not len(texts):
+            return pa.array([], pa.float64())
+        return pa.array(ranking.raw(np.stack([features(t) for t in texts.to_pylist()])))
+
+    return with_column_of(docs, text, "_raw", T.DoubleType(), values)
+
+
+def _threshold_of_all(scored: DataFrame, edges: np.ndarray) -> float:
+    """As `_threshold`, of a table with columns _raw and _label.
+
+    Scores are dealt into bins between `edges`. A cut below a score makes as many errors as there
+    are bad rows, and those more that lie below it and are good than are bad; so each bin finds the best of
+    its own cuts, and only one row for each bin comes to the driver.
+    """
+    kinds = scored.groupBy(F.col("_raw").alias("score")).agg(
+        F.sum(F.when(F.col("_label") == 1, 1).otherwise(-1)).alias("more")
+    )
+    bins = with_column_of(
+        kinds, "score", "bin", T.IntegerType(),
+        lambda scores: pa.array(np.searchsorted(edges, scores.to_numpy(False), "right").astype(np.int32)),
+    )
+    order = Window.partitionBy("bin").orderBy("score")
+    before = order.rowsBetween(Window.unboundedPreceding, -1)
+    cuts = bins.select(
+        "bin", "score", "more", F.coalesce(F.sum("more").over(before), F.lit(0)).alias("below"),
+        F.lag("score").over(order).alias("previous"),
+    )
+    best = cuts.groupBy("bin").agg(
+        F.min(F.struct("below", "score", "previous")).alias("cut"), F.sum("more").alias("more"),
+        F.max("score").alias("last"),
+    ).select("bin", "cut.*", "more", "last")
+    below, last, least, threshold = 0, np.nan, np.inf, 0.0
+    for row in best.toPandas().sort_values("bin").itertuples():
+        if below + row.below < least:
+            least = below + row.below
+            previous = last if np.isnan(row.previous) else row.previous
+            threshold = row.score - 1 if np.isnan(previous) else (previous + row.score) / 2
+        below, last = below + row.more, row.last
+    return float(last + 1 if below < least else threshold)
 
 
 def with_features(df: DataFrame, text: str) -> DataFrame:

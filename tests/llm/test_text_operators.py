@@ -16,6 +16,7 @@ from conftest import TESTDATA, rows_of
 from llm.edges import clashing, documents, texts
 from oracle_check import connect, difference
 
+from clickloom.llm import quality
 from clickloom.llm import queries as registered
 from clickloom.llm.exact import exact_dedup, exact_groups
 from clickloom.llm.pieces import PieceModel, decode_pieces, encode_pieces, read_model
@@ -127,6 +128,31 @@ def test_ranking_puts_the_threshold_between_the_labels():
     assert (ranking.score(x)[:5] > 0.5).all() and (ranking.score(x)[5:] < 0.5).all()
 
 
+@pytest.mark.parametrize("per_label", [40, 4000])
+def test_the_threshold_comes_from_all_labelled_rows(spark, per_label):
+    sf = f"{TESTDATA}/sf0.01"
+    docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text")
+    labels = spark.read.parquet(f"{sf}/labels.parquet")
+    ranking = fit(docs, labels, per_label=per_label)
+    rows = docs.join(labels.where("quality IN (0, 1)"), "doc_id").collect()
+    assert len(rows) > 100
+    scores = ranking.raw(np.stack([features(r.text) for r in rows]))
+    good = np.array([r.quality == 1 for r in rows])
+    assert abs(ranking.threshold - quality._threshold(scores[good], scores[~good])) < 1e-9
+
+
+@pytest.mark.parametrize("edges", [[], [0.0], list(np.linspace(-3, 4, 40))])
+def test_the_threshold_of_a_table_is_that_of_its_rows(spark, edges):
+    rng = np.random.default_rng(1)
+    for good, bad, apart in ((600, 100, 1.5), (5, 70, 0.0), (9, 1, -9.0), (9, 9, 99.0)):
+        x = np.round(rng.normal(apart, 1, good), 1).tolist()
+        y = np.round(rng.normal(0, 1, bad), 1).tolist()
+        table = spark.createDataFrame(
+            [(v, 1) for v in x] + [(v, 0) for v in y], "_raw double, _label int")
+        want = quality._threshold(np.array(x), np.array(y))
+        assert abs(quality._threshold_of_all(table, np.array(edges)) - want) < 1e-9
+
+
 def base_spans(text):
     found = []
     pattern = r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
