@@ -3,7 +3,7 @@
 Three base kinds are plain patterns. The fourth, `literal`, reads lines as source code or configuration:
 each `name = value`, `name: value`, `name := value` or `"name" => value` becomes a pair of a name and the
 literals of the value. A value may be a quoted string, a bare word, a name that was assigned before
-(its literals are propagated), or several of these put together with `+` or `.`. A pair counts as a
+(its literals are propagated, however many; the longest dotted or hyphenated name counts), or several of these put together with `+` or `.`. A pair counts as a
 secret when the words of its name and the randomness of its value score high enough together; the
 span of each literal that the value is made of is reported, also where the literal stands elsewhere.
 
@@ -49,11 +49,17 @@ _PAIR = re.compile(
 _STRING = re.compile(r""""((?:[^"\\]|\\.)*)"|'((?:[^'\\]|\\.)*)'|`([^`]*)`""")
 # A bare word ends at the next operator, but for `=` that pads it.
 _BARE = re.compile(r"""[^\s,;"'`()\[\]{}=:&]+(?:={1,2}(?![^\s,;"'`)\]}&]))?""")
-_NAME = re.compile(r"[A-Za-z_$][\w$]*", re.ASCII)
+_DOTTED = re.compile(r"[A-Za-z_$][\w.$-]*", re.ASCII)
 _JOIN = re.compile(r"""[\x20\t]*(?:\+|\.)[\x20\t]*(?=["'`A-Za-z_$])""")
 _WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])")
 
-Part = tuple[str, int, int]  # a literal's value, start and end
+# `PLACEHOLDER` in parts that can be told from pieces of a value.
+_INSIDE = re.compile(r"\$\{|\{\{|%\(|<[a-z_ ]+>|\*{3}|x{4}", re.I)
+_AT_START = re.compile(r"^(?:change_?me|example|your|none|null|true|false|todo)", re.I)
+_OPEN, _SHUT, _WITHIN = (re.compile(p, re.I) for p in (r"<([a-z_ ]*)\Z", r"([a-z_ ]*)>", r"[a-z_ ]*\Z"))
+_TWICE = re.compile(r"(.)\1", re.I)
+_HEAD, _TAIL, _MANY = 9, 3, 1 << 50
+
 Span = tuple[str, int, int, float]
 
 
@@ -77,35 +83,143 @@ def literal_score(value: str) -> float:
     return min(1.0, bits / FULL_BITS) * (1.0 if mixed else 0.5)
 
 
-def _value(line: str, at: int, offset: int, known: dict[str, list[Part]]) -> list[Part]:
-    """The literals of the value that begins at `at`."""
-    parts: list[Part] = []
-    while True:
-        m = _STRING.match(line, at)
-        if m:
-            group = m.lastindex
-            parts.append((m.group(group), offset + m.start(group), offset + m.end(group)))
-        else:
-            m = _BARE.match(line, at)
-            if not m:
-                return parts
-            name = _NAME.match(line, at)
-            if name and name.group() in known:
-                parts.extend(known[name.group()])
-                m = name
-            elif parts:
-                return parts  # an unknown name after a literal: its value is not in the text
+class Value:
+    """A literal, or values put together: what its score needs, and where its literals are.
+
+    Values share their parts, so that a name takes the same room whatever it is made of. `score` is the
+    highest of the secrets that the value is in.
+    """
+
+    __slots__ = ("kids", "start", "end", "score", "size", "head", "tail", "counts", "inside", "opened",
+                 "shut", "within", "same", "alpha", "space")
+
+    def __init__(self, text: str, start: int, end: int):
+        self.kids: tuple[Value, ...] = ()
+        self.start, self.end, self.score = start, end, 0.0
+        self.size, self.head, self.tail = len(text), text[:_HEAD], text[-_TAIL:]
+        self.counts: dict[str, int] | None = {}  # none: enough for a full score
+        for c in text:
+            self.counts[c] = self.counts.get(c, 0) + 1
+        self.inside = bool(_INSIDE.search(text))
+        opened, shut = _OPEN.search(text), _SHUT.match(text)
+        # Words in angle brackets over a border: none, an empty one and one with characters.
+        self.opened = 0 if not opened else 2 if opened.group(1) else 1
+        self.shut = 0 if not shut else 2 if shut.group(1) else 1
+        self.within = bool(_WITHIN.match(text))
+        self.same = all(_TWICE.match(text[0] + c) for c in set(text))
+        self.alpha, self.space = not text or text.isalpha(), " " in text
+        self._settle()
+
+    def joined(self, other: Value) -> Value:
+        out = object.__new__(Value)
+        out.kids, out.start, out.end, out.score = (self, other), 0, 0, 0.0
+        out.size = min(_MANY, self.size + other.size)
+        out.head = self.head if len(self.head) == _HEAD else (self.head + other.head)[:_HEAD]
+        out.tail = (self.tail + other.tail)[-_TAIL:]
+        out.counts = None
+        if self.counts is not None and other.counts is not None:
+            out.counts = dict(self.counts)
+            for c, k in other.counts.items():
+                out.counts[c] = min(_MANY, out.counts.get(c, 0) + k)
+        bracket = self.opened and other.shut and max(self.opened, other.shut) > 1
+        border = self.tail + other.head[:_TAIL]
+        out.inside = bool(self.inside or other.inside or bracket or _INSIDE.search(border))
+        out.opened = other.opened
+        if self.opened and other.within:
+            out.opened = max(self.opened, 2 if other.size else 1)
+        out.shut = self.shut
+        if self.within and other.shut and not self.shut:
+            out.shut = max(other.shut, 2 if self.size else 1)
+        out.within = self.within and other.within
+        out.same = self.same and other.same
+        if out.same and self.size and other.size:
+            out.same = bool(_TWICE.match(self.head[0] + other.head[0]))
+        out.alpha, out.space = self.alpha and other.alpha, self.space or other.space
+        out._settle()
+        return out
+
+    def _settle(self) -> None:
+        # More characters never make the bits less.
+        if self.counts is not None and self._bits() >= FULL_BITS + 1:
+            self.counts = None
+
+    def _bits(self) -> float:
+        n = sum(self.counts.values())
+        return -sum(k * log2(k / n) for k in self.counts.values())
+
+    def randomness(self) -> float:
+        """The `literal_score` of the whole value."""
+        if self.size < LEAST or self.inside or self.same or _AT_START.match(self.head):
+            return 0.0
+        full = 1.0 if self.counts is None else min(1.0, self._bits() / FULL_BITS)
+        return full * (1.0 if not self.alpha and not self.space else 0.5)
+
+
+class Values:
+    """The values of a text by name, every one in the order of their making."""
+
+    def __init__(self):
+        self.known: dict[str, Value] = {}
+        self.made: list[Value] = []
+        self.longest = 0
+
+    def find(self, line: str, at: int) -> tuple[Value, int] | None:
+        """The value of the longest known name at `at`, whole up to a dot or hyphen, and its end."""
+        m = _DOTTED.match(line, at, at + self.longest + 1)
+        end = m.end() if m else at
+        while end > at:
+            name = line[at:end]
+            if name in self.known and not name.endswith((".", "-")):
+                return self.known[name], end
+            end = max(line.rfind(".", at, end), line.rfind("-", at, end))
+        return None
+
+    def put(self, name: str, value: Value | None) -> None:
+        """An older value of the name is gone, also where the new one is not in the text."""
+        self.known.pop(name, None)
+        if value is not None:
+            self.known[name] = value
+            self.longest = max(self.longest, len(name))
+
+    def read(self, line: str, at: int, offset: int) -> Value | None:
+        """The value that begins at `at`."""
+        value: Value | None = None
+
+        def add(part: Value) -> Value:
+            if value is None:
+                return part
+            both = value.joined(part)
+            self.made.append(both)
+            return both
+
+        def literal(text: str, start: int, end: int) -> Value:
+            self.made.append(Value(text, offset + start, offset + end))
+            return self.made[-1]
+
+        while True:
+            m = _STRING.match(line, at)
+            if m:
+                group = m.lastindex
+                value, end = add(literal(m.group(group), m.start(group), m.end(group))), m.end()
             else:
-                parts.append((m.group(), offset + m.start(), offset + m.end()))
-        more = _JOIN.match(line, m.end())
-        if not more:
-            return parts
-        at = more.end()
+                m = _BARE.match(line, at)
+                if not m:
+                    return value
+                found = self.find(line, at)
+                if found:
+                    value, end = add(found[0]), found[1]
+                elif value is not None:
+                    return value  # an unknown name after a literal: its value is not in the text
+                else:
+                    value, end = literal(m.group(), m.start(), m.end()), m.end()
+            more = _JOIN.match(line, end)
+            if not more:
+                return value
+            at = more.end()
 
 
-def assignments(text: str):
-    """(name, literals) of every assignment of a text, in its order."""
-    known: dict[str, list[Part]] = {}
+def assignments(text: str, values: Values):
+    """(name, value) of every assignment of a text, in its order."""
     at, size = 0, len(text)
     equals, colon = text.find("="), text.find(":")
     while equals >= 0 or colon >= 0:
@@ -116,13 +230,10 @@ def assignments(text: str):
         line = text[start:end]
         pos = 0
         while pair := _PAIR.search(line, pos):
-            parts = _value(line, pair.end(), start, known)
-            name = pair.group(2)
-            if parts:
-                yield name, parts
-                # What a name is made of stays bounded: a name that only repeats others is no constant.
-                if len(parts) <= 16:
-                    known[name] = parts
+            value = values.read(line, pair.end(), start)
+            values.put(pair.group(2), value)
+            if value is not None:
+                yield pair.group(2), value
             pos = max(pair.end(), pair.start() + 1)
         at = end
         equals = text.find("=", end) if 0 <= equals < end else equals
@@ -140,14 +251,19 @@ def spans(text: str | None) -> list[Span]:
     for k, pattern in ((1, ACCESS), (2, HEX)):
         for m in pattern.finditer(text):
             found[m.start(), k, m.end()] = 1.0
-    for name, parts in assignments(text):
+    values = Values()
+    for name, value in assignments(text, values):
         by_name = name_score(name)
         if by_name:
-            score = by_name * literal_score("".join(p[0] for p in parts))
+            score = by_name * value.randomness()
             if score >= THRESHOLD:
-                for _, start, end in parts:
-                    key = (start, 3, end)
-                    found[key] = max(score, found.get(key, 0.0))
+                value.score = max(score, value.score)
+    for value in reversed(values.made):  # parts were made before what they are in
+        for kid in value.kids:
+            kid.score = max(kid.score, value.score)
+        if value.score and not value.kids:
+            key = (value.start, 3, value.end)
+            found[key] = max(value.score, found.get(key, 0.0))
     return [(KINDS[k], start, end, score) for (start, k, end), score in sorted(found.items())]
 
 

@@ -16,7 +16,7 @@ from conftest import TESTDATA, rows_of
 from llm.edges import clashing, documents, texts
 from oracle_check import connect, difference
 
-from clickloom.llm import quality
+from clickloom.llm import quality, secrets
 from clickloom.llm import queries as registered
 from clickloom.llm.exact import exact_dedup, exact_groups
 from clickloom.llm.pieces import PieceModel, decode_pieces, encode_pieces, read_model
@@ -187,6 +187,37 @@ def test_literals_are_found_by_the_names_they_reach(text, literals):
     assert [text[s:e] for k, s, e, _ in spans(text) if k == "literal"] == literals
 
 
+@pytest.mark.parametrize("text, literals", [
+    ("k = " + " + ".join(f"'{c}'" for c in "a8Fj29dkLQm2x7Rt5Vw") + "\npassword = k", [*"a8Fj29dkLQm2x7Rt5Vw"]),
+    ("k = 'old8Fj29dkL'\nk = " + " + ".join(f"'{c}'" for c in "a8Fj29dkLQm2x7Rt5Vw") + "\npassword = k",
+     [*"a8Fj29dkLQm2x7Rt5Vw"]),
+    ("k = 'old8Fj29dkL'\nk = (\npassword = k", []),
+    ("self.x = 'a8Fj29dkLQm2'\npassword = self.x", ["a8Fj29dkLQm2"]),
+    ("cfg.db = 'a8Fj29dkLQm2'\ncfg = 'b7Gk38elMRn3'\npassword = cfg.db", ["a8Fj29dkLQm2"]),
+    ("db-part = 'a8Fj29dkLQm2'\npassword = db-part", ["a8Fj29dkLQm2"]),
+])
+def test_literals_are_propagated_through_all_names(text, literals):
+    assert [text[s:e] for k, s, e, _ in spans(text) if k == "literal"] == literals
+
+
+def test_the_score_of_joined_values_is_that_of_their_text():
+    rng = random.Random(6)
+    pool = ["a", "x", "X", "xx", "$", "{", "<", ">", "a b", "%", "(", "*", "**", "", "change", "me", "_", "no", "ne1",
+            "8Fj2", "9dkLQ", "null", "é", "<a", "b>", "aaaa", "A", " "]
+    for _ in range(20_000):
+        parts = [rng.choice(pool) for _ in range(rng.randrange(1, 9))]
+        values = [secrets.Value(p, 0, 0) for p in parts]
+        while len(values) > 1:
+            k = rng.randrange(len(values) - 1)
+            values[k : k + 2] = [values[k].joined(values[k + 1])]
+        assert abs(values[0].randomness() - secrets.literal_score("".join(parts))) < 1e-9, parts
+
+
+def test_names_that_double_stay_small():
+    text = "k = 'a8F'\n" + "k = k + k\n" * 20_000 + "password = k"
+    assert [text[s:e] for k, s, e, _ in spans(text) if k == "literal"] == ["a8F"]
+
+
 def test_secrets_of_edge_rows(spark):
     docs = clashing(documents(spark))
     out = find_secrets(docs)
