@@ -12,6 +12,7 @@ from clickloom.llm.mixing import mix, words
 from clickloom.llm.passages import repeated_passages
 from clickloom.llm.pieces import encode_pieces, read_model
 from clickloom.llm.quality import fit, with_score
+from clickloom.llm.repair import repaired, summaries
 from clickloom.llm.repeats import remove_repeats
 from clickloom.llm.secrets import BASE, as_text, find_secrets, of_kinds
 from clickloom.llm.shards import interleaved_shards
@@ -124,10 +125,34 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", fingerprint.alias("fingerprint"), "component_id")
 
 
+def damaged(conversations: DataFrame) -> DataFrame:
+    """The conversations with faults put in by a checksum of each row's place; `present` rows are left.
+
+    A row of another table comes out once or twice; a dropped one stays as a row that isn't present,
+    so that its conversation is known.
+    """
+    place = F.concat_ws(":", *[F.coalesce(F.col(c).cast("string"), F.lit(" ")) for c in ("conv_id", "turn")])
+    text = F.coalesce("text", F.lit(" "))
+    marked = conversations.select("conv_id", "turn", "role", "text", (F.crc32(place) % 20).alias("kind"))
+    return marked.select(
+        "conv_id", "turn",
+        F.when(F.col("kind") == 4, F.lit("user")).otherwise(F.coalesce("role", F.lit(" "))).alias("role"),
+        F.when(F.col("kind") == 1, F.lit(""))
+        .when(F.col("kind") == 2, F.regexp_replace(text, "[.!?]", "")).otherwise(text).alias("text"),
+        (F.col("kind") != 0).alias("present"),
+        F.explode(F.when(F.col("kind") == 3, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))),
+    ).drop("col")
+
+
+def op12_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = damaged(table(spark, sf_dir, "conversations"))
+    return summaries(repaired(rows, present=F.col("present"))).withColumnRenamed("conv", "conv_id")
+
+
 def queries() -> dict:
     return {q.__name__: q for q in (
         op1_pieces, op2_exact_dedup, op3_quality, op4_mixing, op5_shards, op6_secrets, op7_repeats,
-        op8_topk, op9_passages, op10_simhash,
+        op8_topk, op9_passages, op10_simhash, op12_repair,
     )}
 
 
