@@ -12,6 +12,7 @@ from clickloom.llm.mixing import mix, words
 from clickloom.llm.passages import repeated_passages
 from clickloom.llm.pieces import encode_pieces, read_model
 from clickloom.llm.quality import fit, with_score
+from clickloom.llm.ranked import ranked_documents
 from clickloom.llm.repair import repaired, summaries
 from clickloom.llm.repeats import remove_repeats
 from clickloom.llm.secrets import BASE, as_text, find_secrets, of_kinds
@@ -149,10 +150,14 @@ def op12_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return summaries(repaired(rows, present=F.col("present"))).withColumnRenamed("conv", "conv_id")
 
 
+def op13_ranked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def queries() -> dict:
     return {q.__name__: q for q in (
         op1_pieces, op2_exact_dedup, op3_quality, op4_mixing, op5_shards, op6_secrets, op7_repeats,
-        op8_topk, op9_passages, op10_simhash, op12_repair,
+        op8_topk, op9_passages, op10_simhash, op12_repair, op13_ranked,
     )}
 
 

@@ -34,4 +34,31 @@ FROM scores
 QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) <= 10
 """
 
-STATEMENTS = {"op2_exact_dedup": OP2, "op8_topk": OP8}
+_TERMS = r"""
+    regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                       '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')
+"""
+
+OP13 = f"""
+WITH terms AS (SELECT doc_id, unnest({_TERMS}) AS term FROM documents),
+lengths AS (SELECT doc_id, count(*) AS n FROM terms GROUP BY doc_id),
+whole AS (SELECT count(*) AS docs, sum(n)::BIGINT AS total FROM lengths),
+sizes AS (SELECT doc_id, 100 - 50 + (50 * n * docs) // total AS m FROM lengths, whole),
+counts AS (SELECT doc_id, term, count(*) AS tf FROM terms GROUP BY doc_id, term),
+weights AS (
+    SELECT term, floor(1000 * ln((2 * any_value(docs) + 2) / (2 * count(*) + 1)))::BIGINT AS w
+    FROM counts, whole GROUP BY term
+),
+items AS (SELECT DISTINCT item_id, unnest({_TERMS}) AS term FROM benchmark),
+scores AS (
+    SELECT item_id, doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 20 * m)))::BIGINT AS score
+    FROM items JOIN weights USING (term) JOIN counts USING (term) JOIN sizes USING (doc_id)
+    GROUP BY item_id, doc_id
+)
+SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id)::INT AS rank,
+       doc_id, score
+FROM scores WHERE score > 0
+QUALIFY row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) <= 50
+"""
+
+STATEMENTS = {"op2_exact_dedup": OP2, "op8_topk": OP8, "op13_ranked": OP13}
