@@ -164,7 +164,7 @@ def fit(
     edges = np.unique(np.quantile(ranking.raw(x), np.linspace(0, 1, BINS + 1)[1:-1]))
     # Only ids and scores meet the labels, no text.
     scored = _with_raw(docs.select(id, text), ranking, text).select(id, "_raw").join(marked, id)
-    return replace(ranking, threshold=_threshold_of_all(scored, edges))
+    return replace(ranking, threshold=threshold_of_all(scored, edges))
 
 
 def _with_raw(docs: DataFrame, ranking: Ranking, text: str) -> DataFrame:
@@ -176,7 +176,7 @@ def _with_raw(docs: DataFrame, ranking: Ranking, text: str) -> DataFrame:
     return with_column_of(docs, text, "_raw", T.DoubleType(), values)
 
 
-def _threshold_of_all(scored: DataFrame, edges: np.ndarray) -> float:
+def threshold_of_all(scored: DataFrame, edges: np.ndarray) -> float:
     """As `_threshold`, of a table with columns _raw and _label.
 
     Scores are dealt into bins between `edges`. A cut below a score makes as many errors as there

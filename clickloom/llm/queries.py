@@ -20,6 +20,7 @@ from clickloom.llm.shards import interleaved_shards
 from clickloom.llm.simhash import near_groups
 from clickloom.llm.statements import STATEMENTS
 from clickloom.llm.topk import top_k
+from clickloom.llm.toxicity import toxicity
 
 SHARDS = 16
 PIECES = "piece_bpe_32k.model"
@@ -126,6 +127,14 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", fingerprint.alias("fingerprint"), "component_id")
 
 
+def op11_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    held = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 5 == 0, F.lit(False))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return toxicity(docs, table(spark, sf_dir, "labels").where(~held)).select(
+        "doc_id", held.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"),
+    )
+
+
 def damaged(conversations: DataFrame) -> DataFrame:
     """The conversations with faults put in by a checksum of each row's place; `present` rows are left.
 
@@ -157,7 +166,8 @@ def op13_ranked(spark: SparkSession, sf_dir: str) -> DataFrame:
 def queries() -> dict:
     return {q.__name__: q for q in (
         op1_pieces, op2_exact_dedup, op3_quality, op4_mixing, op5_shards, op6_secrets, op7_repeats,
-        op8_topk, op9_passages, op10_simhash, op12_repair, op13_ranked,
+        op8_topk, op9_passages, op10_simhash, op11_toxicity, op12_repair,
+        op13_ranked,
     )}
 
 

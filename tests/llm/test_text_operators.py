@@ -150,7 +150,7 @@ def test_the_threshold_of_a_table_is_that_of_its_rows(spark, edges):
         table = spark.createDataFrame(
             [(v, 1) for v in x] + [(v, 0) for v in y], "_raw double, _label int")
         want = quality._threshold(np.array(x), np.array(y))
-        assert abs(quality._threshold_of_all(table, np.array(edges)) - want) < 1e-9
+        assert abs(quality.threshold_of_all(table, np.array(edges)) - want) < 1e-9
 
 
 def base_spans(text):
