@@ -109,7 +109,9 @@ def op7_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(
         "doc_id", (F.octet_length("kept") + removed).alias("n_bytes"),
         removed.alias("n_removed"), F.size("removed").cast("bigint").alias("n_spans"),
-        F.sha2("kept", 256).alias("kept_sha256"),
+        F.sha2("kept", 256).alias("kept_sha256"), (removed > 0).alias("shortened"), "removed",
+        # A cut may fall inside a character; what is left of it is replaced.
+        F.make_valid_utf8(F.col("kept").cast("string")).alias("kept"),
     )
 
 

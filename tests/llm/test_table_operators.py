@@ -258,6 +258,11 @@ def test_query_of_repeats(spark):
     }
     got = registered.op7_repeats(spark, SF).collect()
     assert {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in got} == want
+    for r in got:
+        assert r.shortened == (r.n_removed > 0) == bool(r.removed)
+        assert sum(s.end - s.start for s in r.removed) == r.n_removed
+        if "\ufffd" not in r.kept:
+            assert hashlib.sha256(r.kept.encode()).hexdigest() == r.kept_sha256
 
 
 # --- passages ----------------------------------------------------------------------------------
