@@ -16,9 +16,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clickloom.folders import remove, scratch_dir
-from clickloom.functions import numbers, texts, times
+from clickloom.functions import numbers, sql, texts, times
 from clickloom.operators import ads, areas, categories, funnel, sampling, sessions
 from clickloom.operators.ordered import successor_pairs
+from clickloom.plans import reports
 from clickloom.session import pin_utc
 from clickloom.sinks import keyed
 from clickloom.sinks import tables as plain
@@ -249,6 +250,40 @@ def area_top3_inline_cities(spark: SparkSession, sf_dir: str) -> DataFrame:
     return areas.area_top_products(info, TASK)
 
 
+def area_top3_sql(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The report as SQL text, with functions of the session."""
+    sql.register(spark, retail.LEVELS)
+    views = {
+        "actions": retail.actions(spark, sf_dir), "cities": retail.cities(spark, sf_dir),
+        "products": retail.products(spark, sf_dir),
+    }
+    return reports.run(spark, reports.AREA_TOP_PRODUCTS, views, taskid=TASK, top=3)
+
+
+def sql_functions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every SQL function on every action."""
+    sql.register(spark, retail.LEVELS)
+    return reports.run(spark, """
+        WITH packed AS (
+            SELECT *, concat('page=', page_id, '|keyword=', coalesce(search_keyword, '')) AS record
+            FROM actions
+        )
+        SELECT event_id, is_empty(search_keyword) AS keyword_empty,
+               is_not_empty(search_keyword) AS keyword_given,
+               trim_comma(concat(',', order_category_ids, ',')) AS trimmed,
+               two_digits(CAST(city_id AS STRING)) AS two_digits,
+               id_and_name(city_id, date, ':') AS id_and_name,
+               json_field(concat('{"page": ', page_id, '}'), 'page') AS json_page,
+               distinct_list(split(order_category_ids, ',')) AS categories,
+               packed_field(record, '|', 'keyword') AS packed_keyword,
+               set_packed_field(record, '|', 'page', CAST(page_id + 1 AS STRING)) AS repacked,
+               date_key(action_ts) AS date_key, minute_key(action_ts) AS minute_key,
+               product_status(concat('{"product_status": ', page_id % 2, '}')) AS product_status,
+               area_level(if(page_id % 2 = 0, 'ASIA', 'EUROPE')) AS area_level
+        FROM packed
+    """, {"actions": retail.actions(spark, sf_dir)})
+
+
 # --- ads ---------------------------------------------------------------------------------------
 
 def _log(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -409,7 +444,7 @@ _QUERIES: list[Query] = [
     top10_category, category_session_clicks, top10_session,
     page_successors, page_pair_counts, start_page_pv, page_convert_rate, page_split_convert_rate,
     click_scan, area_clicks, area_product_counts, area_product_info, area_top3_product,
-    area_top3_inline_cities,
+    area_top3_inline_cities, area_top3_sql, sql_functions,
     ad_log_parsed, ad_log_not_blacklisted, ad_user_click_count, ad_click_lookup, ad_blacklist,
     ad_stat, ad_province_top3, ad_click_trend, ad_click_sliding_hour,
     ad_click_sliding_hour_stream, ad_job_user_clicks, ad_job_stat, ad_job_province_top3,

@@ -259,6 +259,21 @@ _BODIES = {
                round(event_id / 8.0, 2) AS eighths
         FROM act
     """,
+    "sql_functions": """
+        SELECT event_id, coalesce(search_keyword, '') = '' AS keyword_empty,
+               coalesce(search_keyword, '') <> '' AS keyword_given, order_category_ids AS trimmed,
+               lpad(CAST(city_id AS VARCHAR), 2, '0') AS two_digits,
+               city_id || ':' || date AS id_and_name, CAST(page_id AS VARCHAR) AS json_page,
+               array_to_string(list_sort(list_distinct(string_split(order_category_ids, ','))), ',')
+                   AS categories,
+               search_keyword AS packed_keyword,
+               'page=' || (page_id + 1) || '|keyword=' || coalesce(search_keyword, '') AS repacked,
+               strftime(action_ts, '%Y%m%d') AS date_key,
+               strftime(action_ts, '%Y%m%d%H%M') AS minute_key,
+               CASE WHEN page_id % 2 = 0 THEN 'Self' ELSE 'Third Party' END AS product_status,
+               CASE WHEN page_id % 2 = 0 THEN 'B_Level' ELSE 'C_Level' END AS area_level
+        FROM act
+    """,
     "session_rollup": f"SELECT {_SESSION_COLUMNS} FROM rolled",
     "session_full_info":
         f"SELECT {_SESSION_COLUMNS}, age, professional, sex, city FROM info",
@@ -458,6 +473,7 @@ _BODIES = {
     """,
 }
 
+_BODIES["area_top3_sql"] = _BODIES["area_top3_product"]
 _BODIES["ad_click_sliding_hour_stream"] = _BODIES["ad_click_sliding_hour"]
 
 STATEMENTS = {name: _WITH + body for name, body in _BODIES.items()}
