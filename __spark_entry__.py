@@ -304,13 +304,16 @@ def ad_log_not_blacklisted(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ads.not_blacklisted(_log(spark, sf_dir), _listed(spark, sf_dir)).drop("ts")
 
 
-def _streamed(spark: SparkSession, sf_dir: str, start, prepare=None, **options) -> AdTables:
+def _streamed(
+    spark: SparkSession, sf_dir: str, start, prepare=None, arrivals: bool = False, **options
+) -> AdTables:
     """The tables that a stream over the whole events table has filled."""
     root = scratch_dir(pin_utc(spark), start.__name__)
     tables = AdTables(f"{root}/tables")
     if prepare is not None:
         prepare(tables)
-    lines = retail.ad_lines(spark, sf_dir, stream=True).select("value")
+    lines = retail.ad_lines(spark, sf_dir, stream=True)
+    lines = _arriving(lines) if arrivals else lines.select("value")
     query = start(lines, tables, f"{root}/checkpoint", available_now=True, **options)
     query.awaitTermination()
     remove(spark, f"{root}/checkpoint")
@@ -350,7 +353,27 @@ def ad_click_trend(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def ad_click_sliding_hour_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _streamed(spark, sf_dir, live.start_sliding_hour).hours.read(spark).drop("date")
+    return live.sliding_hours(spark, _streamed(spark, sf_dir, live.start_sliding_hour))
+
+
+def ad_running_stat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _streamed(spark, sf_dir, live.start_running_stat).running_stat.read(spark)
+
+
+def _arriving(lines: DataFrame) -> DataFrame:
+    """Lines that come up to six minutes after their time, by the second they are from."""
+    delay = F.expr("make_interval(0, 0, 0, 0, 0, second(ts) % 7)")
+    return lines.select("value", (F.col("ts") + delay).alias("arrived"))
+
+
+def ad_click_arrival_hour(spark: SparkSession, sf_dir: str) -> DataFrame:
+    log = parse_ad_log(_arriving(retail.ad_lines(spark, sf_dir)), "arrived")
+    return ads.arrival_hour(ads.arrival_panes(log))
+
+
+def ad_click_arrival_hour_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    tables = _streamed(spark, sf_dir, live.start_arrival_hour, arrivals=True)
+    return live.arrival_reports(spark, tables)
 
 
 def _whole_job(spark: SparkSession, sf_dir: str) -> AdTables:
@@ -447,7 +470,8 @@ _QUERIES: list[Query] = [
     area_top3_inline_cities, area_top3_sql, sql_functions,
     ad_log_parsed, ad_log_not_blacklisted, ad_user_click_count, ad_click_lookup, ad_blacklist,
     ad_stat, ad_province_top3, ad_click_trend, ad_click_sliding_hour,
-    ad_click_sliding_hour_stream, ad_job_user_clicks, ad_job_stat, ad_job_province_top3,
+    ad_click_sliding_hour_stream, ad_click_arrival_hour, ad_click_arrival_hour_stream,
+    ad_running_stat, ad_job_user_clicks, ad_job_stat, ad_job_province_top3,
     ad_job_click_trend,
     sink_round_trip,
 ]

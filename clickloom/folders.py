@@ -24,6 +24,13 @@ def scratch_dir(spark: SparkSession, name: str) -> str:
     return f"{shared.rstrip('/')}/{name}-{uuid4().hex}"
 
 
+def ensured(spark: SparkSession, path: str) -> str:
+    """The path; its folder is there afterwards."""
+    fs, folder = hadoop_path(spark, path)
+    fs.mkdirs(folder)
+    return path
+
+
 def remove(spark: SparkSession, path: str) -> None:
     """Delete a folder that nothing reads any more."""
     fs, folder = hadoop_path(spark, path)

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from clickloom.functions.times import minute_key
@@ -72,27 +72,78 @@ def click_trend(log: DataFrame) -> DataFrame:
     return counted.select(*minute_parts(minute_key(F.col("window.start"))), "adid", "clickCount")
 
 
-def sliding_hour(log: DataFrame) -> DataFrame:
-    """Clicks per ad in every 60-minute window, one window starting each minute.
+def hour_steps(log: DataFrame) -> DataFrame:
+    """start, adid, step: how an ad's clicks of an hour change from one minute to the next.
 
-    A click lies in 60 windows. Clicks are first counted per minute, and only these counts,
-    at most one per minute and ad, are spread over the windows.
+    A pane holds the clicks of one minute. It enters the hour that starts 59 minutes before it and
+    leaves with the hour that starts one minute after it. So a pane makes two rows, whatever the
+    length of the window; steps of different batches add up.
     """
-    minutes = log.groupBy(F.date_trunc("minute", "ts").alias("minute"), "adid").agg(
-        F.count(F.lit(1)).alias("clicks")
-    )
-    spread = minutes.select(
-        F.explode(
-            F.sequence(
-                F.col("minute") - F.expr(f"interval {MINUTES_PER_HOUR - 1} minutes"),
-                F.col("minute"),
-                F.expr("interval 1 minute"),
-            )
-        ).alias("window_start"),
-        "adid", "clicks",
+    pane = F.date_trunc("minute", "ts").alias("pane")
+    panes = log.groupBy(pane, "adid").agg(F.count(F.lit(1)).alias("clicks"))
+    return _steps(panes, F.col("pane") - _minutes(MINUTES_PER_HOUR - 1), "adid")
+
+
+def hour_counts(steps: DataFrame, *keys: str) -> DataFrame:
+    """start, keys, clickCount: the hour of each minute that has clicks.
+
+    The count is the sum of all steps up to it. It stays until the next step, so that each row of the
+    result is made once. The window holds at most one row for each minute of a key.
+    """
+    order = Window.partitionBy(*keys).orderBy("start")
+    total = F.sum("step").over(order.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    runs = steps.select(
+        *keys, "start", total.alias("clickCount"),
+        (F.lead("start").over(order) - _minutes(1)).alias("last"),
+    ).where("clickCount <> 0")  # the last step of a key brings it to zero
+    return runs.select(
+        F.explode(F.sequence("start", "last", _minutes(1))).alias("start"), *keys, "clickCount"
     )
-    return (
-        spread.groupBy("window_start", "adid")
-        .agg(F.sum("clicks").alias("clickCount"))
-        .select(minute_key("window_start").alias("window_start"), "adid", "clickCount")
+
+
+def sliding_hour(log: DataFrame) -> DataFrame:
+    """Clicks per ad in every 60-minute window, one window starting each minute."""
+    return named_hours(hour_counts(hour_steps(log), "adid"))
+
+
+def named_hours(counts: DataFrame) -> DataFrame:
+    return counts.select(minute_key("start").alias("window_start"), "adid", "clickCount")
+
+
+def arrival_panes(log: DataFrame) -> DataFrame:
+    """pane, minute_key, adid, clicks: lines by the minute they arrived in and their own minute."""
+    pane = F.date_trunc("minute", "arrived").alias("pane")
+    return log.groupBy(pane, "minute_key", "adid").agg(F.count(F.lit(1)).alias("clicks"))
+
+
+def arrival_hour(panes: DataFrame, since: Column | None = None) -> DataFrame:
+    """report_minute, date, hour, minute, adid, clickCount: what each minute's report holds.
+
+    A line counts in the report of the minute it arrived in and of the 59 minutes after that,
+    whatever its own time is; it is reported under its own minute. `since` keeps the reports from that
+    minute on: panes of an hour before it have expired and are not read.
+    """
+    if since is not None:
+        panes = panes.where(F.col("pane") > since - _minutes(MINUTES_PER_HOUR))
+    keys = ("minute_key", "adid")
+    reports = hour_counts(_steps(panes, F.col("pane"), *keys), *keys)
+    if since is not None:
+        reports = reports.where(F.col("start") >= since)
+    return reports.select(
+        minute_key("start").alias("report_minute"), *minute_parts(F.col("minute_key")), "adid",
+        "clickCount",
     )
+
+
+def _minutes(n: int) -> Column:
+    return F.expr(f"INTERVAL {n} MINUTES")
+
+
+def _steps(panes: DataFrame, enters: Column, *keys: str) -> DataFrame:
+    """Each pane counts from `enters` on, and an hour later no more."""
+    changes = F.inline(F.array(
+        F.struct(enters.alias("start"), F.col("clicks").alias("step")),
+        F.struct((enters + _minutes(MINUTES_PER_HOUR)).alias("start"), (-F.col("clicks")).alias("step")),
+    ))
+    steps = panes.select(*keys, changes).groupBy("start", *keys).agg(F.sum("step").alias("step"))
+    return steps.where("step <> 0")

@@ -1,12 +1,14 @@
-"""Result tables with keys that micro-batches update.
+"""Result tables with keys that micro-batches update, kept in two plain partitioned Parquet tables.
 
-Files cannot be updated in place. Each micro-batch therefore writes its own changes into its own
-folder, and reading merges the folders. A batch that runs again after a failure writes the
-same folder again, so nothing counts twice. Folders without Spark's `_SUCCESS` mark, left by a
-lost job, are not read. `compact` folds the folders into one, so that reads stay short; in a table with
-a partition column only the days that the folders touch are folded, all other days stay as they are.
+`new` holds what each of the last batches changed, partitioned by a slot of the batch id; `folded` holds
+the sum of all earlier batches, partitioned by day. Both are written by dynamic partition overwrite: a
+batch that runs again replaces its own slot, and folding replaces just the days that batches touched.
+Every row carries the id of the last batch it stands for, so that reading takes from `new` only
+what its day has not folded yet. Reading merges both by grouping on the key.
 
-A table belongs to one streaming query: batch ids are those of its checkpoint.
+A table belongs to one streaming query: batch ids are those of its checkpoint. `fold` has to run at least
+once in SLOTS / 2 batches. Spark replaces partitions one by one when a job commits; where a driver may be lost
+in that moment, the folder should lie on storage with versions.
 """
 
 from __future__ import annotations
@@ -16,22 +18,20 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clickloom.folders import hadoop_path
+from clickloom.folders import ensured
 
 # What a later batch does to rows that are there already.
 ADD = "add"                      # value = value + new value
 OVERWRITE = "overwrite"          # value = new value
 REPLACE_GROUP = "replace_group"  # all rows of the group go, the new ones come
 INSERT = "insert"                # a key that is there stays as it is
+SLOTS = 128
 
 
 @dataclass(frozen=True)
 class KeyedTable:
-    """Rows of `columns` (a DDL text). `keys` name the key, for REPLACE_GROUP the group.
-
-    `partition` names a key column that becomes a folder level, so that reads of a few
-    days open only these.
-    """
+    """Rows of `columns` (a DDL text). `keys` name the key, for REPLACE_GROUP the group, and include
+    `partition`, the column of the days if there is one: reads of a few days open only these."""
 
     path: str
     columns: str
@@ -41,132 +41,78 @@ class KeyedTable:
     partition: str | None = None
 
     def write_batch(self, changes: DataFrame, batch_id: int) -> None:
-        self._write(changes, f"{self.path}/batch/batch_id={batch_id}")
+        rows = changes.select(*self._names(), F.lit(batch_id).cast("bigint").alias("batch_id"))
+        self._overwrite(rows.withColumn("slot", F.lit(batch_id % SLOTS)), "new", "slot")
 
     def read(
-        self,
-        spark: SparkSession,
-        before: int | None = None,
-        days: Column | None = None,
+        self, spark: SparkSession, before: int | None = None, days: Column | None = None,
         only: DataFrame | None = None,
     ) -> DataFrame:
-        """Current rows; with `before`, those from batches with smaller ids.
+        """Current rows; with `before`, those from batches with smaller ids that aren't folded yet.
 
         `days` is a condition on the partition column, `only` limits the rows to those whose key
-        columns are in that frame. Both take effect before folders are merged.
+        columns are in that frame. Both take effect before rows are merged.
         """
-        rows = self._raw(spark, before, days)
-        if only is not None:
-            rows = rows.join(only, only.columns, "left_semi")
-        return self._merge(rows)
+        return self._merge(self._rows(spark, before, days, only)).select(*self._names())
 
     def read_batch(self, spark: SparkSession, batch_id: int) -> DataFrame:
         """The changes one batch wrote."""
-        return self._load(spark, [f"{self.path}/batch/batch_id={batch_id}"]).drop("batch_id")
-
-    def compact(self, spark: SparkSession) -> None:
-        """Fold all finished batches into one folder. The folders folded stay until `tidy`."""
-        done = self._committed(spark, "batch")
-        bases = self._committed(spark, "base")
-        fresh = [i for i in done if not bases or i > bases[-1]]
-        if not fresh:
-            return
-        days = None
-        if self.partition:
-            touched = sorted({d for i in fresh for d in self._days(spark, "batch", i)})
-            days = F.col(self.partition).isin(touched)
-        self._write(self._merge(self._raw(spark, days=days)), f"{self.path}/base/batch_id={done[-1]}")
-
-    def tidy(self, spark: SparkSession) -> None:
-        """Delete folders that the last but one compaction has made superfluous."""
-        bases = self._committed(spark, "base")
-        if len(bases) < 2:
-            return
-        last = bases[-2]
-        for batch_id in self._committed(spark, "batch"):
-            if batch_id <= last:
-                self._delete(spark, f"batch/batch_id={batch_id}")
-        if not self.partition:
-            for batch_id in bases[:-2]:
-                self._delete(spark, f"base/batch_id={batch_id}")
-            return
-        newer: set[str] = set()
-        for batch_id in reversed(bases[:-1]):
-            days = self._days(spark, "base", batch_id)
-            for day in days:
-                if day in newer:
-                    self._delete(spark, f"base/batch_id={batch_id}/{self.partition}={day}")
-            if batch_id != last and newer.issuperset(days):
-                self._delete(spark, f"base/batch_id={batch_id}")
-            newer.update(days)
-
-    def _delete(self, spark: SparkSession, folder: str) -> None:
-        fs, path = hadoop_path(spark, f"{self.path}/{folder}")
-        fs.delete(path, True)
-
-    def _write(self, rows: DataFrame, path: str) -> None:
-        by = [self.partition] if self.partition else []
-        # Rebalancing makes files of an even size, also when one day holds most rows.
-        rows.hint("rebalance", *by).write.mode("overwrite").partitionBy(*by).parquet(path)
+        mine = (F.col("slot") == batch_id % SLOTS) & (F.col("batch_id") == batch_id)
+        return self._table(spark, "new", "slot int").where(mine).select(*self._names())
+
+    def fold(self, spark: SparkSession, before: int) -> None:
+        """Merge what batches before `before` have changed into the days they touched."""
+        touched = self._fresh(spark, before, None).select(self._day().alias("day")).distinct()
+        rows = self._rows(spark, before).withColumn("day", self._day()).join(touched, "day", "left_semi")
+        upto = F.lit(before - 1).cast("bigint")
+        self._overwrite(
+            self._merge(rows).withColumns({"batch_id": upto, "day": self._day()}), "folded", "day"
+        )
+
+    def _day(self) -> Column:
+        return F.col(self.partition) if self.partition else F.lit("all")
 
-    def _raw(
-        self, spark: SparkSession, before: int | None = None, days: Column | None = None
+    def _rows(
+        self, spark: SparkSession, before: int | None = None, days: Column | None = None,
+        only: DataFrame | None = None,
     ) -> DataFrame:
-        def earlier(ids: list[int]) -> list[int]:
-            return [i for i in ids if before is None or i < before]
-
-        bases = earlier(self._committed(spark, "base"))
-        last = bases[-1] if bases else None
-        batches = [i for i in earlier(self._committed(spark, "batch")) if last is None or i > last]
-        folders = [f"{self.path}/base/batch_id={i}" for i in bases[-1:]]
-        if self.partition:
-            # Each day is read from the last base that folded it.
-            newest = {d: i for i in bases for d in self._days(spark, "base", i)}
-            folders = [
-                f"{self.path}/base/batch_id={i}/{self.partition}={d}" for d, i in newest.items()
-            ]
-        rows = self._load(spark, folders + [f"{self.path}/batch/batch_id={i}" for i in batches])
-        return rows if days is None else rows.where(days)
-
-    def _days(self, spark: SparkSession, kind: str, batch_id: int) -> list[str]:
-        """Values of the partition column that a folder holds, as its subfolders name them."""
-        fs, pattern = hadoop_path(
-            spark, f"{self.path}/{kind}/batch_id={batch_id}/{self.partition}=*"
-        )
-        return [s.getPath().getName().split("=", 1)[1] for s in fs.globStatus(pattern) or []]
-
-    def _load(self, spark: SparkSession, paths: list[str]) -> DataFrame:
-        schema = f"{self.columns}, batch_id bigint"
-        if not paths:
-            return spark.createDataFrame([], schema)
-        # Folders of both kinds end in batch_id=<n>; one read per kind keeps it a column.
-        frames = [
-            spark.read.schema(schema).option("basePath", f"{self.path}/{kind}").parquet(*of_kind)
-            for kind in ("base", "batch")
-            if (of_kind := [p for p in paths if p.startswith(f"{self.path}/{kind}/")])
-        ]
-        rows = frames[0] if len(frames) == 1 else frames[0].unionByName(frames[1])
-        return rows.select(*self._names(), "batch_id")
+        parts = [self._folded(spark, days), self._fresh(spark, before, days)]
+        if only is not None:
+            parts = [rows.join(only, only.columns, "left_semi") for rows in parts]
+        return parts[0].unionByName(parts[1])
+
+    def _folded(self, spark: SparkSession, days: Column | None) -> DataFrame:
+        rows = self._table(spark, "folded", "day string")
+        if self.partition:  # in place of the stored column, so that conditions open few folders
+            rows = rows.withColumn(self.partition, F.col("day"))
+        return (rows if days is None else rows.where(days)).drop("day")
+
+    def _fresh(self, spark: SparkSession, before: int | None, days: Column | None) -> DataFrame:
+        rows = self._table(spark, "new", "slot int").withColumn("day", self._day())
+        if before is not None:  # batch `before` may be about to replace its slot
+            rows = rows.where((F.col("slot") != before % SLOTS) & (F.col("batch_id") < before))
+        rows = rows if days is None else rows.where(days)
+        upto = self._folded(spark, days).groupBy(self._day().alias("day")).agg(F.max("batch_id").alias("upto"))
+        return rows.join(upto, "day", "left").where("upto IS NULL OR batch_id > upto").drop("day", "upto", "slot")
 
     def _merge(self, rows: DataFrame) -> DataFrame:
         if self.rule == ADD:
-            merged = rows.groupBy(*self.keys).agg(F.sum(self.value).alias(self.value))
-        elif self.rule == OVERWRITE:
-            merged = rows.groupBy(*self.keys).agg(
-                F.max_by(self.value, "batch_id").alias(self.value)
-            )
-        elif self.rule == REPLACE_GROUP:
+            return rows.groupBy(*self.keys).agg(F.sum(self.value).alias(self.value))
+        if self.rule == OVERWRITE:
+            return rows.groupBy(*self.keys).agg(F.max_by(self.value, "batch_id").alias(self.value))
+        if self.rule == REPLACE_GROUP:
             last = rows.groupBy(*self.keys).agg(F.max("batch_id").alias("batch_id"))
-            merged = rows.join(last, [*self.keys, "batch_id"], "left_semi")
-        else:
-            merged = rows.select(*self.keys).distinct()
-        return merged.select(*self._names())
+            return rows.join(last, [*self.keys, "batch_id"], "left_semi")
+        return rows.select(*self.keys).distinct()
 
     def _names(self) -> list[str]:
         return [part.split()[0] for part in self.columns.split(",")]
 
-    def _committed(self, spark: SparkSession, kind: str) -> list[int]:
-        """Ids of the finished folders of a kind, in order."""
-        fs, pattern = hadoop_path(spark, f"{self.path}/{kind}/batch_id=*/_SUCCESS")
-        found = fs.globStatus(pattern) or []
-        return sorted(int(s.getPath().getParent().getName().split("=")[1]) for s in found)
+    def _table(self, spark: SparkSession, name: str, by: str) -> DataFrame:
+        path = ensured(spark, f"{self.path}/{name}")
+        return spark.read.schema(f"{self.columns}, batch_id bigint, {by}").parquet(path)
+
+    def _overwrite(self, rows: DataFrame, name: str, by: str) -> None:
+        # Rebalancing makes files of an even size, also when one day holds most rows.
+        writer = rows.hint("rebalance", by).write.mode("overwrite").partitionBy(by)
+        writer.option("partitionOverwriteMode", "dynamic").parquet(f"{self.path}/{name}")

@@ -34,8 +34,8 @@ def file_lines(
     return reader.load(path).select("value")
 
 
-def parse_ad_log(lines: DataFrame) -> DataFrame:
-    """Typed columns of each line; works on streams and on batches.
+def parse_ad_log(lines: DataFrame, *kept: str) -> DataFrame:
+    """Typed columns of each line, and the columns `kept`; works on streams and on batches.
 
     A line whose numbers cannot be read is left out.
     """
@@ -47,6 +47,7 @@ def parse_ad_log(lines: DataFrame) -> DataFrame:
         F.get(part, F.lit(2)).alias("city"),
         F.get(part, F.lit(3)).try_cast("bigint").alias("userid"),
         F.get(part, F.lit(4)).try_cast("bigint").alias("adid"),
+        *kept,
     ).dropna(subset=["ts", "userid", "adid"])
     return typed.select(
         date_key("ts").alias("date"), minute_key("ts").alias("minute_key"), *typed.columns

@@ -473,6 +473,15 @@ _BODIES = {
     """,
 }
 
+_BODIES["ad_click_arrival_hour"] = """
+    SELECT strftime(date_trunc('minute', ts + to_minutes(CAST(second(ts) % 7 AS BIGINT)))
+                    + to_minutes(CAST(later AS BIGINT)), '%Y%m%d%H%M') AS report_minute,
+           date, minute_key[9:10] AS hour, minute_key[11:12] AS minute, adid,
+           count(*) AS "clickCount"
+    FROM ad, generate_series(0, 59) AS g(later) GROUP BY ALL
+"""
+_BODIES["ad_click_arrival_hour_stream"] = _BODIES["ad_click_arrival_hour"]
+_BODIES["ad_running_stat"] = _BODIES["ad_stat"]
 _BODIES["area_top3_sql"] = _BODIES["area_top3_product"]
 _BODIES["ad_click_sliding_hour_stream"] = _BODIES["ad_click_sliding_hour"]
 

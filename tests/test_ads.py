@@ -85,3 +85,10 @@ def test_sliding_hour_equals_window_over_each_click(spark):
 @pytest.mark.parametrize("minute, windows", [(0, 60)])
 def test_a_click_lies_in_sixty_windows(spark, minute, windows):
     assert ads.sliding_hour(log(spark, (minute, 1, 1, 1, 1))).count() == windows
+
+
+def test_windows_are_made_once(spark):
+    """Each row of the result comes out of one pass over the steps: no copies are counted again."""
+    plan = ads.sliding_hour(log(spark, (0, 1, 1, 1, 1)))._jdf.queryExecution().executedPlan().toString()
+    before, after = plan.split("Generate explode(sequence", 1)
+    assert "HashAggregate" not in before and "HashAggregate" in after

@@ -1,6 +1,8 @@
 from __future__ import annotations
 
 import os
+import random
+import shutil
 
 import pytest
 from conftest import rows_of
@@ -34,7 +36,7 @@ EXPECTED = {
 
 
 @pytest.mark.parametrize("rule", EXPECTED)
-def test_rules_replays_and_compaction(spark, tmp_path, rule):
+def test_rules_replays_and_folding(spark, tmp_path, rule):
     t = store(tmp_path, rule)
     assert t.read(spark).count() == 0
     t.write_batch(frame(spark, *BATCHES[0]), 0)
@@ -42,18 +44,20 @@ def test_rules_replays_and_compaction(spark, tmp_path, rule):
     t.write_batch(frame(spark, *BATCHES[1]), 1)
     t.write_batch(frame(spark, *BATCHES[1]), 1)
     assert rows_of(t.read(spark, before=1)) == first
-    t.compact(spark)
+    # Batch 1 folds what came before it, runs again, and folds again.
+    for _ in range(2):
+        t.fold(spark, 1)
+        assert rows_of(t.read(spark, before=1)) == first
+        t.write_batch(frame(spark, *BATCHES[1]), 1)
     t.write_batch(frame(spark, *BATCHES[2]), 2)
     assert rows_of(t.read(spark)) == EXPECTED[rule]
     assert rows_of(t.read(spark, days=F.col("date").isin("d2", "d3"))) == [
         r for r in EXPECTED[rule] if r[0] in ("d2", "d3")]
-    assert rows_of(t.read(spark, before=1)) == first
     days = spark.createDataFrame([("d1",), ("d9",)], "date string")
     assert rows_of(t.read(spark, only=days)) == [r for r in EXPECTED[rule] if r[0] == "d1"]
-    t.compact(spark)
-    t.tidy(spark)
-    assert rows_of(t.read(spark)) == EXPECTED[rule]
-    assert sorted(os.listdir(f"{tmp_path}/t/batch")) == ["batch_id=2"]
+    for before in (2, 3, 4):
+        t.fold(spark, before)
+        assert rows_of(t.read(spark)) == EXPECTED[rule]
     assert rows_of(t.read_batch(spark, 2)) == BATCHES[2]
 
 
@@ -62,27 +66,43 @@ def files_of(path):
 
 
 @pytest.mark.parametrize("rule", EXPECTED)
-def test_compaction_leaves_untouched_days_as_they_are(spark, tmp_path, rule):
+def test_folding_leaves_untouched_days_as_they_are(spark, tmp_path, rule):
     t = store(tmp_path, rule)
     t.write_batch(frame(spark, *BATCHES[0]), 0)
-    t.compact(spark)
-    day2 = files_of(f"{tmp_path}/t/base/batch_id=0/date=d2")
+    t.fold(spark, 1)
+    day2 = files_of(f"{tmp_path}/t/folded/day=d2")
     assert day2
     for batch_id, rows in ((1, BATCHES[1]), (2, BATCHES[2])):
         t.write_batch(frame(spark, *rows), batch_id)
-        t.compact(spark)
-        t.tidy(spark)
-        assert files_of(f"{tmp_path}/t/base/batch_id=0/date=d2") == day2
-        assert not os.path.exists(f"{tmp_path}/t/base/batch_id={batch_id}/date=d2")
+        t.fold(spark, batch_id + 1)
+        assert files_of(f"{tmp_path}/t/folded/day=d2") == day2
     assert rows_of(t.read(spark)) == EXPECTED[rule]
     t.write_batch(frame(spark, ("d2", 9, 9)), 3)
-    t.compact(spark)
-    t.write_batch(frame(spark, ("d3", 9, 9)), 4)
-    t.compact(spark)
     before = rows_of(t.read(spark))
-    t.tidy(spark)
+    t.fold(spark, 4)
     assert rows_of(t.read(spark)) == before
-    assert not os.path.exists(f"{tmp_path}/t/base/batch_id=0/date=d2")
+    assert files_of(f"{tmp_path}/t/folded/day=d2") != day2
+
+
+@pytest.mark.parametrize("rule", [keyed.ADD, keyed.REPLACE_GROUP])
+def test_slots_are_used_again(spark, tmp_path, monkeypatch, rule):
+    monkeypatch.setattr(keyed, "SLOTS", 4)
+    rng = random.Random(5)
+    a, b = store(f"{tmp_path}/a", rule), store(f"{tmp_path}/b", rule)
+    batches = [
+        sorted({(f"d{rng.randrange(3)}", i): rng.randrange(9) for i in rng.sample(range(6), 3)}.items())
+        for _ in range(7)
+    ]
+    for batch_id, rows in enumerate(batches):
+        changes = frame(spark, *[(d, i, n) for (d, i), n in rows])
+        a.write_batch(changes, batch_id)
+        if batch_id % 2:
+            a.fold(spark, batch_id)
+    monkeypatch.setattr(keyed, "SLOTS", 128)
+    for batch_id, rows in enumerate(batches):
+        b.write_batch(frame(spark, *[(d, i, n) for (d, i), n in rows]), batch_id)
+    assert rows_of(a.read(spark)) == rows_of(b.read(spark))
+    assert len(os.listdir(f"{tmp_path}/a/t/new")) <= 4 + 2
 
 
 def test_insert_only(spark, tmp_path):
@@ -92,19 +112,23 @@ def test_insert_only(spark, tmp_path):
     assert rows_of(t.read(spark)) == [(1,), (2,), (3,)]
 
 
-def test_unfinished_folder_is_not_read(spark, tmp_path):
+def test_unfinished_work_is_not_read(spark, tmp_path):
     t = store(tmp_path, keyed.ADD)
     t.write_batch(frame(spark, *BATCHES[0]), 0)
-    t.write_batch(frame(spark, *BATCHES[1]), 1)
-    os.rename(f"{tmp_path}/t/batch/batch_id=1/_SUCCESS", f"{tmp_path}/t/moved")
+    # What a lost job leaves behind: files below the writer's staging folders.
+    for staging in (".spark-staging-1/slot=1", "_temporary/0/task/slot=1"):
+        os.makedirs(f"{tmp_path}/t/new/{staging}")
+        for name in files_of(f"{tmp_path}/t/new/slot=0"):
+            shutil.copy(f"{tmp_path}/t/new/slot=0/{name}", f"{tmp_path}/t/new/{staging}/{name}")
     assert rows_of(t.read(spark)) == sorted(BATCHES[0])
 
 
 def test_day_range_opens_only_its_folders(spark, tmp_path):
     t = store(tmp_path, keyed.ADD)
     t.write_batch(frame(spark, *BATCHES[0]), 0)
+    t.fold(spark, 1)
     plan = t.read(spark, days=F.col("date") == "d2")._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [" in plan and "(date" in plan.split("PartitionFilters: [")[1]
+    assert "PartitionFilters: [" in plan and "(day" in plan.split("PartitionFilters: [", 1)[1]
 
 
 def test_append_and_replace(spark, tmp_path):

@@ -1,6 +1,7 @@
 from __future__ import annotations
 
 import random
+from datetime import datetime, timedelta
 
 import pytest
 from conftest import rows_of
@@ -59,8 +60,7 @@ def test_parts_of_the_job_equal_batch(spark, tmp_path, batches):
     assert rows_of(tables.stat.read(spark)) == rows_of(stat)
     assert rows_of(tables.top3.read(spark)) == rows_of(ads.province_top_ads(stat))
     assert rows_of(tables.trend.read(spark)) == rows_of(ads.click_trend(log))
-    hours = tables.hours.read(spark).drop("date")
-    assert rows_of(hours) == rows_of(ads.sliding_hour(log))
+    assert rows_of(live.sliding_hours(spark, tables)) == rows_of(ads.sliding_hour(log))
 
 
 def test_no_click_is_lost_when_parts_have_uneven_files(spark, tmp_path):
@@ -78,7 +78,7 @@ def test_no_click_is_lost_when_parts_have_uneven_files(spark, tmp_path):
     run(live.start_sliding_hour, stream, tables, f"{tmp_path}/b")
     log = parse_ad_log(lines)
     assert rows_of(tables.trend.read(spark)) == rows_of(ads.click_trend(log))
-    assert rows_of(tables.hours.read(spark).drop("date")) == rows_of(ads.sliding_hour(log))
+    assert rows_of(live.sliding_hours(spark, tables)) == rows_of(ads.sliding_hour(log))
     lines.unpersist()
 
 
@@ -165,6 +165,86 @@ def test_late_line_is_counted_in_its_own_minute(spark, tmp_path):
     assert rows_of(trend.trend.read(spark)) == late
 
 
+def with_arrival(spark, n=200):
+    """Lines that come up to two hours late."""
+    rng = random.Random(9)
+    late = F.udf(lambda _: rng.randrange(120), "int")  # tests only
+    rows = feed(spark, n).withColumn("arrived", F.timestamp_add("MINUTE", late("value"), "ts"))
+    return spark.createDataFrame(rows.collect(), "ts timestamp, value string, arrived timestamp")
+
+
+def test_hour_by_arrival_holds_what_came_in_the_last_hour(spark):
+    lines = with_arrival(spark)
+    log = parse_ad_log(lines, "arrived")
+    want = {}
+    for r in log.collect():
+        pane = r.arrived.replace(second=0, microsecond=0)
+        for later in range(60):
+            at = (pane + timedelta(minutes=later)).strftime("%Y%m%d%H%M")
+            key = (at, r.minute_key[:8], r.minute_key[8:10], r.minute_key[10:], r.adid)
+            want[key] = want.get(key, 0) + 1
+    panes = ads.arrival_panes(log)
+    assert {tuple(r)[:5]: r.clickCount for r in ads.arrival_hour(panes).collect()} == want
+    since = max(want)[0]
+    start = datetime.strptime(since, "%Y%m%d%H%M") - timedelta(minutes=30)
+    some = ads.arrival_hour(panes, F.lit(start).cast("timestamp"))
+    first = start.strftime("%Y%m%d%H%M")
+    assert {tuple(r)[:5]: r.clickCount for r in some.collect()} == {
+        k: n for k, n in want.items() if k[0] >= first}
+
+
+def test_arrival_stream(spark, tmp_path):
+    lines, folder = with_arrival(spark), f"{tmp_path}/feed"
+    lines.repartition(3).write.parquet(folder)
+    stream = spark.readStream.schema(lines.schema).option("maxFilesPerTrigger", 1).parquet(folder)
+    tables = AdTables(f"{tmp_path}/tables")
+    run(live.start_arrival_hour, stream, tables, tmp_path)
+    want = ads.arrival_hour(ads.arrival_panes(parse_ad_log(lines, "arrived")))
+    assert rows_of(live.arrival_reports(spark, tables)) == rows_of(want)
+    since = lines.agg(F.max("arrived")).first()[0].replace(minute=0, second=0, microsecond=0)
+    some = live.arrival_reports(spark, tables, since)
+    first = since.strftime("%Y%m%d%H%M")
+    assert rows_of(some) == rows_of(want.where(F.col("report_minute") >= first))
+
+
+def test_lines_without_arrival_get_the_time_of_their_batch(spark, tmp_path):
+    folder, tables = f"{tmp_path}/feed", AdTables(f"{tmp_path}/tables")
+    write_lines(spark, folder, f"{START} 1 1 1 1", f"{START} 1 1 1 1")
+    run(live.start_arrival_hour, file_lines(spark, folder), tables, tmp_path)
+    found = live.arrival_reports(spark, tables).collect()
+    assert len(found) == 60 and {r.clickCount for r in found} == {2}
+
+
+def test_running_stat_goes_on_after_a_restart(spark, tmp_path):
+    """Counts are kept in the state store; every batch reports all keys of the last days."""
+    folder, tables, reports = f"{tmp_path}/feed", AdTables(f"{tmp_path}/tables"), []
+    lines = feed(spark, 200).persist()
+    hour = 3600 * 1000
+
+    def report(counts, batch_id):
+        reports.append(counts.agg(F.sum("clickCount")).first()[0])
+
+    for part in range(3):  # a new query each time, from the same checkpoint
+        due = F.floor((F.unix_millis("ts") - START) / (10 * hour)) == part
+        lines.where(due).select("value").coalesce(1).write.mode("append").text(folder)
+        run(live.start_running_stat, file_lines(spark, folder), tables, tmp_path, report=report)
+    assert rows_of(tables.running_stat.read(spark)) == rows_of(ads.ad_stat(parse_ad_log(lines)))
+    assert reports[-1] == 200 and sorted(reports) == reports
+    assert spark.conf.get(live.STATE_STORE) != live.ROCKSDB
+    assert list((tmp_path / "checkpoint" / "state").rglob("*.zip"))  # snapshots of RocksDB
+    lines.unpersist()
+
+
+def test_running_stat_ends_a_day_after_its_day(spark, tmp_path):
+    folder, tables = f"{tmp_path}/feed", AdTables(f"{tmp_path}/tables")
+    day = 24 * 3600 * 1000
+    for at in (START, START + 3 * day, START, START + 3 * day):
+        write_lines(spark, folder, f"{at} 1 1 1 1")
+        run(live.start_running_stat, file_lines(spark, folder), tables, tmp_path)
+    assert rows_of(tables.running_stat.read(spark)) == [
+        ("20200501", "1", "1", 1, 1), ("20200504", "1", "1", 1, 2)]
+
+
 def test_kafka_source_needs_its_connector(spark):
     """The connector is not on this machine; the reader must ask for it by its name."""
     from pyspark.errors import AnalysisException
