@@ -9,10 +9,11 @@ from __future__ import annotations
 import os
 import sys
 from collections.abc import Callable
+from uuid import uuid4
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from clickloom.folders import remove, scratch_dir
@@ -23,7 +24,7 @@ from clickloom.plans import reports
 from clickloom.session import pin_utc
 from clickloom.sinks import keyed
 from clickloom.sinks import tables as plain
-from clickloom.sources import retail
+from clickloom.sources import layouts, retail
 from clickloom.sources.adlog import parse_ad_log
 from clickloom.sources.cities import city_dimension
 from clickloom.sources.tables import ACTION_SCHEMA, actions_between, clicks
@@ -159,6 +160,38 @@ def session_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sampling.session_extract(rows, _kept(spark, sf_dir), TASK, SAMPLE_TOTAL, SEED)
 
 
+def session_stat_observed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The shares as counted while the kept sessions are written."""
+    counted = Observation("sessions")
+    root = scratch_dir(spark, "kept-sessions")
+    plain.replace(sessions.observed(_kept(spark, sf_dir), counted), root)
+    remove(spark, root)
+    return sessions.session_stat_of(spark, counted, TASK)
+
+
+# --- stored layouts ----------------------------------------------------------------------------
+
+def _stored_actions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return retail.actions(spark, sf_dir).select(*ACTION_COLUMNS)
+
+
+def actions_by_date(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The range of days, from actions stored by date."""
+    path = scratch_dir(spark, "actions-by-date")
+    layouts.write_by_date(_stored_actions(spark, sf_dir), path)
+    stored = layouts.read_by_date(spark, path, ACTION_SCHEMA)
+    return actions_between(stored, "2024-01-08", "2024-01-14").select(*ACTION_COLUMNS)
+
+
+def filtered_actions_by_session(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Actions of kept sessions, from actions stored in buckets of sessions."""
+    table = f"actions_{uuid4().hex}"
+    layouts.write_by_session(_stored_actions(spark, sf_dir), table, 16)
+    stored = spark.table(table)
+    kept = sessions.kept_sessions(stored, retail.users(spark, sf_dir), BY_EVERYTHING)
+    return sessions.filtered_actions(stored, kept).select(*ACTION_COLUMNS)
+
+
 # --- categories --------------------------------------------------------------------------------
 
 def category_event_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -463,6 +496,7 @@ _QUERIES: list[Query] = [
     actions_date_range, users_scan, scalar_functions,
     session_rollup, session_full_info, session_filter, session_filter_flags, filtered_actions,
     session_stat_ratio, session_stat_ratio_gap, session_hour_quotas, session_extract,
+    session_stat_observed, actions_by_date, filtered_actions_by_session,
     category_event_counts, category_full_counts, session_category_counts,
     top10_category, category_session_clicks, top10_session,
     page_successors, page_pair_counts, start_page_pv, page_convert_rate, page_split_convert_rate,

@@ -6,7 +6,7 @@ from collections.abc import Iterable, Mapping
 from dataclasses import dataclass, fields
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from clickloom.functions.numbers import share
@@ -200,21 +200,41 @@ def session_stat_ratio(sessions: DataFrame, task_id: str) -> DataFrame:
 
     One row, also for no sessions: then the number and all shares are 0.
     """
-    ratios = {}
-    for prefix, column, buckets in (
-        ("visit_length", "visit_length", VISIT_BUCKETS),
-        ("step_length", "step_length", STEP_BUCKETS),
-    ):
+    return _shares(sessions.agg(*_bucket_counts()), task_id)
+
+
+def observed(sessions: DataFrame, observation: Observation) -> DataFrame:
+    """The sessions as they are; computing them once counts them and their buckets on the way.
+
+    `session_stat_of` makes the report of these counts, without another pass. Compute the frame in one
+    action; a second one doesn't change the counts.
+    """
+    return sessions.observe(observation, *_bucket_counts())
+
+
+def session_stat_of(
+    spark: SparkSession, observation: Observation, task_id: str
+) -> DataFrame:
+    """`session_stat_ratio` of the sessions that were observed; waits until they are computed."""
+    counts = observation.get
+    schema = ", ".join(f"{name} bigint" for name in counts)
+    return _shares(spark.createDataFrame([tuple(counts.values())], schema), task_id)
+
+
+def _bucket_counts() -> list[Column]:
+    """The number of sessions, and of those in each bucket."""
+    counts = [F.count(F.lit(1)).alias("session_count")]
+    for prefix, buckets in (("visit_length", VISIT_BUCKETS), ("step_length", STEP_BUCKETS)):
         for name, low, high in buckets:
-            ratios[f"{prefix}_{name}_ratio"] = F.count_if(_in_bucket(F.col(column), low, high))
-    counted = sessions.agg(
-        F.count(F.lit(1)).alias("session_count"), *[c.alias(name) for name, c in ratios.items()]
-    )
+            inside = F.count_if(_in_bucket(F.col(prefix), low, high))
+            counts.append(inside.alias(f"{prefix}_{name}_ratio"))
+    return counts
+
+
+def _shares(counted: DataFrame, task_id: str) -> DataFrame:
+    number, *buckets = counted.columns
     return counted.select(
         F.lit(task_id).alias("taskid"),
-        "session_count",
-        *[
-            F.coalesce(share(F.col(name), F.col("session_count")), F.lit(0.0)).alias(name)
-            for name in ratios
-        ],
+        number,
+        *[F.coalesce(share(F.col(b), F.col(number)), F.lit(0.0)).alias(b) for b in buckets],
     )

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from clickloom.functions.times import date_key, minute_key
@@ -34,10 +34,13 @@ def file_lines(
     return reader.load(path).select("value")
 
 
-def parse_ad_log(lines: DataFrame, *kept: str) -> DataFrame:
+def parse_ad_log(
+    lines: DataFrame, *kept: str, observation: Observation | str | None = None
+) -> DataFrame:
     """Typed columns of each line, and the columns `kept`; works on streams and on batches.
 
-    A line whose numbers cannot be read is left out.
+    A line whose numbers cannot be read is left out. An observation, or the name of one in the progress
+    of a stream, counts on the way: `lines`, and `unreadable`, those left out.
     """
     part = F.split("value", " ")
     ts = F.timestamp_millis(F.get(part, F.lit(0)).try_cast("bigint"))
@@ -48,7 +51,14 @@ def parse_ad_log(lines: DataFrame, *kept: str) -> DataFrame:
         F.get(part, F.lit(3)).try_cast("bigint").alias("userid"),
         F.get(part, F.lit(4)).try_cast("bigint").alias("adid"),
         *kept,
-    ).dropna(subset=["ts", "userid", "adid"])
+    )
+    needed = ["ts", "userid", "adid"]
+    if observation is not None:
+        unreadable = F.count_if(F.greatest(*[F.col(c).isNull() for c in needed]))
+        typed = typed.observe(
+            observation, F.count(F.lit(1)).alias("lines"), unreadable.alias("unreadable")
+        )
+    typed = typed.dropna(subset=needed)
     return typed.select(
         date_key("ts").alias("date"), minute_key("ts").alias("minute_key"), *typed.columns
     )

@@ -37,6 +37,8 @@ from clickloom.streaming.tables import STAT_KEYS, AdTables
 
 BATCH_INTERVAL = "5 seconds"
 FOLD_EVERY = 50
+# In the progress of every stream: how many lines came, and how many of them couldn't be read.
+FEED = "feed"
 STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 # A batch of so many days opens just their folders; one of more days opens the range of them.
@@ -67,7 +69,7 @@ def start_ad_job(
             clean.unpersist()
         _keep_short(spark, batch_id, tables.all())
 
-    return _start(parse_ad_log(lines), on_batch, checkpoint, available_now)
+    return _start(parse_ad_log(lines, observation=FEED), on_batch, checkpoint, available_now)
 
 
 def start_blacklist(
@@ -85,7 +87,7 @@ def start_blacklist(
         update_blacklist(clean, batch_id, tables, threshold)
         _keep_short(spark, batch_id, [tables.user_clicks, tables.blacklist])
 
-    return _start(parse_ad_log(lines), on_batch, checkpoint, available_now)
+    return _start(parse_ad_log(lines, observation=FEED), on_batch, checkpoint, available_now)
 
 
 def start_user_clicks(
@@ -97,7 +99,7 @@ def start_user_clicks(
         tables.user_clicks.write_batch(user_ad_clicks(log), batch_id)
         _keep_short(log.sparkSession, batch_id, [tables.user_clicks])
 
-    return _start(parse_ad_log(lines), on_batch, checkpoint, available_now)
+    return _start(parse_ad_log(lines, observation=FEED), on_batch, checkpoint, available_now)
 
 
 def update_blacklist(
@@ -150,7 +152,7 @@ def start_ad_stat(
             touched.append(tables.top3)
         _keep_short(spark, batch_id, touched)
 
-    return _start(parse_ad_log(lines), on_batch, checkpoint, available_now)
+    return _start(parse_ad_log(lines, observation=FEED), on_batch, checkpoint, available_now)
 
 
 def start_click_trend(
@@ -162,7 +164,7 @@ def start_click_trend(
         tables.trend.write_batch(click_trend(log), batch_id)
         _keep_short(log.sparkSession, batch_id, [tables.trend])
 
-    return _start(parse_ad_log(lines), on_batch, checkpoint, available_now)
+    return _start(parse_ad_log(lines, observation=FEED), on_batch, checkpoint, available_now)
 
 
 def start_sliding_hour(
@@ -178,7 +180,7 @@ def start_sliding_hour(
         tables.hour_steps.write_batch(steps, batch_id)
         _keep_short(log.sparkSession, batch_id, [tables.hour_steps])
 
-    return _start(parse_ad_log(lines), on_batch, checkpoint, available_now)
+    return _start(parse_ad_log(lines, observation=FEED), on_batch, checkpoint, available_now)
 
 
 def sliding_hours(spark: SparkSession, tables: AdTables) -> DataFrame:
@@ -202,7 +204,7 @@ def start_arrival_hour(
         tables.arrivals.write_batch(panes, batch_id)
         _keep_short(log.sparkSession, batch_id, [tables.arrivals])
 
-    return _start(parse_ad_log(lines, "arrived"), on_batch, checkpoint, available_now)
+    return _start(parse_ad_log(lines, "arrived", observation=FEED), on_batch, checkpoint, available_now)
 
 
 def arrival_reports(
@@ -230,7 +232,7 @@ def start_running_stat(
     Every batch writes the counts that it changed. `report` then gets the counts of all keys of the
     last two days, changed or not.
     """
-    log = parse_ad_log(lines).withWatermark("ts", lives)
+    log = parse_ad_log(lines, observation=FEED).withWatermark("ts", lives)
     counts = log.groupBy(F.window("ts", "1 day"), *STAT_KEYS).agg(
         F.count(F.lit(1)).alias("clickCount")
     )

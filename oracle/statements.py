@@ -481,6 +481,9 @@ _BODIES["ad_click_arrival_hour"] = """
     FROM ad, generate_series(0, 59) AS g(later) GROUP BY ALL
 """
 _BODIES["ad_click_arrival_hour_stream"] = _BODIES["ad_click_arrival_hour"]
+_BODIES["session_stat_observed"] = _BODIES["session_stat_ratio"]
+_BODIES["actions_by_date"] = _BODIES["actions_date_range"]
+_BODIES["filtered_actions_by_session"] = _BODIES["filtered_actions"]
 _BODIES["ad_running_stat"] = _BODIES["ad_stat"]
 _BODIES["area_top3_sql"] = _BODIES["area_top3_product"]
 _BODIES["ad_click_sliding_hour_stream"] = _BODIES["ad_click_sliding_hour"]
