@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 from uuid import uuid4
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -68,10 +68,28 @@ def with_column_of(
     return with_columns_of(df, source, {target: kind}, lambda column: [values(column)])
 
 
-def ascii_lower(column) -> F.Column:
+def packed(df: DataFrame, *left_out: str) -> Column:
+    """All columns but some as one struct, named `row`: working columns beside it clash with none of them."""
+    return F.struct(*[quoted(c) for c in df.columns if c not in left_out]).alias("row")
+
+
+def quoted(*path: str) -> Column:
+    """The column of that name, or the field of a struct, whatever characters are in the name."""
+    return F.col(".".join("`" + part.replace("`", "``") + "`" for part in path))
+
+
+def unused(name: str, taken: Sequence[str]) -> str:
+    """`name`, with more underscores in front where a column has it already."""
+    lowered = {c.lower() for c in taken}
+    while name.lower() in lowered:
+        name = f"_{name}"
+    return name
+
+
+def ascii_lower(column) -> Column:
     """A-Z lowered, every other character as it is."""
     return F.translate(column, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
-def sha256_hex(column) -> F.Column:
+def sha256_hex(column) -> Column:
     return F.sha2(F.encode(column, "UTF-8"), 256)

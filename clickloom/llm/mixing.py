@@ -26,7 +26,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from clickloom.llm.frames import written
+from clickloom.llm.frames import packed, quoted, written
 from clickloom.llm.running import BUCKET_ROWS, bucket_starts, digest_bucket
 
 SEED = 42
@@ -102,12 +102,11 @@ def mix(
     `levels` gives the tree from the root to the leaves, `share_of_supply` the tokens to select as
     a share of all there are. An existing column `epoch` is replaced; all others stay.
     """
-    columns = [c for c in docs.columns if c != "epoch"]
     # Levels are compared as text, with a mark that keeps null apart from an empty name.
     leaf = F.to_json(F.array(*[c.cast("string") for c in levels.values()]))
     narrow = written(
         docs.select(
-            leaf.alias("_leaf"), F.col(id).cast("string").alias("_id"),
+            leaf.alias("_leaf"), quoted(id).cast("string").alias("_id"),
             F.greatest(tokens, F.lit(1)).cast("bigint").alias("_tokens"),
         ),
         "mixing",
@@ -132,13 +131,15 @@ def mix(
     takes = spark.createDataFrame(plan, "_leaf string, _whole bigint, _rest bigint")
     cuts = written(_cuts(narrow, takes, seed), "mixing-cuts")
     # One row for each leaf, so at most MAX_LEAVES.
-    joined = docs.select(*columns, leaf.alias("_leaf")).join(
+    joined = docs.select(
+        packed(docs, "epoch"), leaf.alias("_leaf"), quoted(id).cast("string").alias("_id")
+    ).join(
         F.broadcast(takes.join(cuts, "_leaf", "left")), "_leaf"
     )
-    partial = (F.col("_rest") > 0) & (_key(id, F.col("_whole"), seed) <= F.col("_last"))
+    partial = (F.col("_rest") > 0) & (_key("_id", F.col("_whole"), seed) <= F.col("_last"))
     last = F.col("_whole") - 1 + F.coalesce(partial, F.lit(False)).cast("bigint")
     epochs = F.when(last >= 0, F.sequence(F.lit(0), last.cast("int")))
-    return joined.select(*columns, F.explode(epochs).alias("epoch"))
+    return joined.select("row", F.explode(epochs).alias("epoch")).select("row.*", "epoch")
 
 
 def _key(id: str, epoch: Column, seed: int) -> Column:

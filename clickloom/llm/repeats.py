@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from clickloom.llm.frames import Batches, put, slices, written
+from clickloom.llm.frames import Batches, packed, put, slices, unused, written
 
 LENGTH, GRAM = 400, 32
 WIDE = LENGTH - GRAM + 1
@@ -300,15 +300,15 @@ def cut(data: bytes, spans: list[tuple[int, int]]) -> tuple[bytes, list[tuple[in
     return b"".join(data[a:b] for a, b in zip(edges[::2], edges[1::2])), runs
 
 
-def _cut_batches(batches: Batches, text: str, kept: str, spans: str) -> Batches:
+def _cut_batches(batches: Batches, text: str, found: str, kept: str, spans: str) -> Batches:
     for batch in slices(batches):
         at = batch.schema.get_field_index
         left, runs = [], []
-        for t, found in zip(batch.column(at(text)).to_pylist(), batch.column(at("_spans")).to_pylist()):
-            rest, merged = cut((t or "").encode(), [(s["start"], s["end"]) for s in found or ()])
+        for t, listed in zip(batch.column(at(text)).to_pylist(), batch.column(at(found)).to_pylist()):
+            rest, merged = cut((t or "").encode(), [(s["start"], s["end"]) for s in listed or ()])
             left.append(rest)
             runs.append([{"start": a, "end": b} for a, b in merged])
-        batch = batch.remove_column(at("_spans"))
+        batch = batch.remove_column(at(found))
         batch = put(batch, kept, pa.array(left, pa.binary()))
         yield put(batch, spans, pa.array(runs, _SPANS))
 
@@ -323,19 +323,21 @@ def remove_repeats(
     An empty table gives no rows.
     """
     found = written(repeated_spans(docs, text, id), "spans")
+    columns = [c for c in docs.columns if c not in (kept, spans)]
+    name = unused("spans", columns)
     lists = found.groupBy("id", "h").agg(
-        F.collect_list(F.struct("start", "end")).alias("_spans")  # no more than a text has runs
+        F.collect_list(F.struct("start", "end")).alias("lists")  # no more than a text has runs
     )
-    columns = [c for c in docs.columns if c not in (kept, spans)]
     whole = F.coalesce(F.col(text), F.lit(""))
     rows = docs.select(
-        *columns, F.coalesce(F.col(id).cast("bigint"), F.lit(0)).alias("_id"), _hash(whole, id).alias("_h")
-    ).join(lists.select(F.col("id").alias("_id"), F.col("h").alias("_h"), "_spans"), ["_id", "_h"], "left")
-    rows = rows.select(*columns, "_spans")
+        packed(docs, kept, spans), F.coalesce(F.col(id).cast("bigint"), F.lit(0)).alias("id"),
+        _hash(whole, id).alias("h"),
+    ).join(lists, ["id", "h"], "left")
+    rows = rows.select("row.*", F.col("lists").alias(name))
     schema = T.StructType([
-        *rows.select(*columns).schema.fields, T.StructField(kept, T.BinaryType()),
+        *rows.drop(name).schema.fields, T.StructField(kept, T.BinaryType()),
         T.StructField(spans, T.ArrayType(T.StructType([
             T.StructField("start", T.LongType()), T.StructField("end", T.LongType()),
         ]))),
     ])
-    return rows.mapInArrow(lambda batches: _cut_batches(batches, text, kept, spans), schema)
+    return rows.mapInArrow(lambda batches: _cut_batches(batches, text, name, kept, spans), schema)

@@ -18,7 +18,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from clickloom.llm.frames import written
+from clickloom.llm.frames import packed, quoted, written
 from clickloom.llm.running import BUCKET_ROWS, digest_bucket, running
 
 SEED = 42
@@ -35,27 +35,28 @@ def interleaved_shards(
     """
     total = rows.count()
     buckets = max(1, total // BUCKET_ROWS)
-    columns = [c for c in rows.columns if c not in ("shard", "slot")]
-    source = F.coalesce(F.concat(F.lit("="), F.col(by).cast("string")), F.lit(""))
-    key = F.md5(F.concat_ws(":", F.lit(str(seed)), F.col(id).cast("string")))
-    keyed = rows.select(*columns, source.alias("_by"), key.alias("_key"))
-    order = ["_key", *[c for c in (id, *tie) if c in columns]]
+    source = F.coalesce(F.concat(F.lit("="), quoted(by).cast("string")), F.lit(""))
+    key = F.md5(F.concat_ws(":", F.lit(str(seed)), quoted(id).cast("string")))
+    keyed = rows.select(
+        packed(rows, "shard", "slot"), source.alias("by"), key.alias("key"),
+        F.struct(*[quoted(c) for c in (id, *tie)]).alias("tie"),
+    )
+    order = ["key", "tie"]
     shuffled = written(
-        running(keyed, order, digest_bucket("_key", buckets), F.lit(1), "_number", ["_by"])
-        .withColumn("_part", (F.col("_number") - F.lit(0.5)) / F.col("_total"))
-        .drop("_total"),
+        running(keyed, order, digest_bucket("key", buckets), F.lit(1), "number", ["by"])
+        .withColumn("part", (F.col("number") - F.lit(0.5)) / F.col("_total"))
+        .drop("_total", "number"),
         "shards",
     )
     placed = running(
-        shuffled, ["_part", *order, "_by"], F.floor(F.col("_part") * buckets), F.lit(1), "_place"
+        shuffled, ["part", *order, "by"], F.floor(F.col("part") * buckets), F.lit(1), "place"
     )
     # Shard s holds the places from s * total / shards on, rounded up.
     n, size = F.lit(shards).cast("bigint"), F.lit(max(1, total)).cast("bigint")
-    place = F.col("_place") - 1
-    sharded = placed.withColumn("_at", place).withColumn("shard", _div(F.col("_at") * n, size))
-    first = _div(F.col("shard") * size + n - 1, n)
+    sharded = placed.withColumn("at", F.col("place") - 1).withColumn("shard_no", _div(F.col("at") * n, size))
+    first = _div(F.col("shard_no") * size + n - 1, n)
     return sharded.select(
-        *columns, F.col("shard").cast("int").alias("shard"), (F.col("_at") - first).alias("slot")
+        "row.*", F.col("shard_no").cast("int").alias("shard"), (F.col("at") - first).alias("slot")
     )
 
 

@@ -8,6 +8,10 @@ import random
 CLASHING = (
     "ids", "decoded", "keep_id", "group_size", "kept", "text_sha256", "score", "epoch", "shard", "slot",
     "secrets", "removed", "fingerprint", "component_id", "start", "end", "key", "possible", "name",
+    # Names of columns that operators work with, now or in earlier versions.
+    "_key", "_possible", "_number", "_part", "_place", "_at", "_word", "_bits", "_sha", "_same", "_keep", "_by",
+    "_bucket", "_total", "_up_to", "_start", "_leaf", "_whole", "_rest", "_last", "_id", "_h", "_spans", "row", "id",
+    "h", "spans", "lists", "tie", "by", "number", "part", "place", "at", "sha", "same", "keep", "conv",
 )
 COLUMNS = "doc_id bigint, text string, lang string, source string, n_chars bigint"
 
@@ -46,3 +50,9 @@ def clashing(docs):
     from pyspark.sql import functions as F
 
     return docs.select("*", *[F.lit("own").alias(c) for c in CLASHING])
+
+
+def own_values(frame, *results):
+    """Whether the extra columns, but for an operator's results, hold what they held before."""
+    names = [c for c in CLASHING if c not in results]
+    return set(map(tuple, frame.select(*names).distinct().collect())) == {("own",) * len(names)}

@@ -10,11 +10,11 @@ from collections import Counter, defaultdict
 import numpy as np
 import pytest
 from conftest import TESTDATA
-from llm.edges import clashing, documents, texts
+from llm.edges import clashing, documents, own_values, texts
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from clickloom.llm import mixing, passages, repeats, shards, simhash, topk
+from clickloom.llm import exact, mixing, passages, repeats, shards, simhash, topk
 from clickloom.llm import queries as registered
 from clickloom.llm.components import components
 
@@ -71,6 +71,34 @@ def test_mix_of_edge_rows(spark):
     assert mixing.mix(docs.limit(0), levels, {}, 1.0, mixing.words("text")).count() == 0
 
 
+def test_columns_of_any_name_keep_their_values(spark):
+    docs = clashing(documents(spark))
+    assert own_values(mixing.mix(docs, {"lang": F.col("lang")}, {}, 1.0, mixing.words("text")), "epoch")
+    assert own_values(shards.interleaved_shards(docs, 3), "shard", "slot")
+    assert own_values(exact.exact_dedup(docs))
+    short = docs.where("text IS NULL OR length(text) < 3000")
+    assert own_values(repeats.remove_repeats(short), "kept", "removed")
+
+
+@pytest.mark.parametrize("limit", [1, 1 << 22])
+def test_large_filters_are_joined_and_as_selective(spark, monkeypatch, limit):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
+    keyed = exact._keyed(docs, "text", "doc_id")
+    monkeypatch.setattr(exact, "MAX_WORDS", limit)
+    passed = exact.with_possible(keyed, exact.possible_repeats(keyed))
+    plan = passed._jdf.queryExecution().executedPlan().toString()
+    assert ("BroadcastHashJoin" in plan) or limit == 1
+    counts = Counter(r.text_sha256 for r in keyed.collect())
+    possible = Counter(r.text_sha256 for r in passed.where("possible").collect())
+    assert all(possible[t] == n for t, n in counts.items() if n > 1)
+    alone = sum(n == 1 for n in counts.values())
+    assert sum(counts[t] == 1 for t in possible) < 0.03 * alone + 3
+    got = {r.doc_id: r for r in exact.exact_groups(docs).collect()}
+    assert all(r.group_size == counts[r.text_sha256] for r in got.values())
+    kept = {r.doc_id for r in exact.exact_dedup(docs).collect()}
+    assert kept == {r.doc_id for r in got.values() if r.kept}
+
+
 # --- shards ------------------------------------------------------------------------------------
 
 @pytest.mark.parametrize("bucket_rows", [7, 4096])
