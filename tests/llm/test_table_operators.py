@@ -353,6 +353,39 @@ def test_every_long_repeat_lies_in_a_passage(spark):
     assert checked
 
 
+def random_words(rng, n):
+    return ["w%d" % rng.randrange(10**6) for _ in range(n)]
+
+
+def test_passages_of_frequent_lines_are_found(spark):
+    """Each line of a passage is in many other documents; only their order is the passage's own."""
+    rng = random.Random(6)
+    lines = [" ".join(random_words(rng, 10)) for _ in range(40)]
+    rows = [
+        (i, "\n".join([" ".join(random_words(rng, 30)), rng.choice(lines), " ".join(random_words(rng, 30))]))
+        for i in range(400)
+    ]
+    for k in range(20):
+        passage = "\n".join(rng.sample(lines, (6, 12)[k % 2]))
+        for side in range(2):
+            rows.append((1000 + 2 * k + side, "\n".join(
+                [" ".join(random_words(rng, 40)), passage, " ".join(random_words(rng, 40))])))
+    found = passages.repeated_passages(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    links = {(r.doc_id, r.other_id) for r in found}
+    assert all((1000 + 2 * k, 1001 + 2 * k) in links for k in range(20))
+    class_of = {r.doc_id: r.class_id for r in found}
+    assert all(class_of[a] == class_of[b] for a, b in links)
+
+
+def test_equal_texts_are_one_class(spark):
+    line = "one two three four five six seven eight nine ten"
+    rows = [(i, " ".join([line] * 12)) for i in (4, 2, 9)] + [(5, " ".join([line] * 4)), (6, " ".join([line] * 4))]
+    rows += [(None, " ".join([line] * 12))]
+    found = passages.repeated_passages(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    assert {tuple(r) for r in found} == {
+        (a, b, 0, 120, 0, 120, 1.0, 2) for a, b in ((4, 2), (2, 4), (9, 2), (2, 9))}
+
+
 def planted(rng, gap):
     """Two texts of random words with two exact passages of 60 words, `gap` other words between."""
     first, second = ([b"w%d" % rng.randrange(10**6) for _ in range(60)] for _ in range(2))
