@@ -41,8 +41,11 @@ class KeyedTable:
     partition: str | None = None
 
     def write_batch(self, changes: DataFrame, batch_id: int) -> None:
-        rows = changes.select(*self._names(), F.lit(batch_id).cast("bigint").alias("batch_id"))
-        self._overwrite(rows.withColumn("slot", F.lit(batch_id % SLOTS)), "new", "slot")
+        rows = changes.select(
+            *self._names(), F.lit(batch_id).cast("bigint").alias("batch_id"), self._day().alias("day"),
+            F.lit(batch_id % SLOTS).alias("slot"),
+        )
+        self._overwrite(rows, "new", "slot")
 
     def read(
         self, spark: SparkSession, before: int | None = None, days: Column | None = None,
@@ -58,12 +61,12 @@ class KeyedTable:
     def read_batch(self, spark: SparkSession, batch_id: int) -> DataFrame:
         """The changes one batch wrote."""
         mine = (F.col("slot") == batch_id % SLOTS) & (F.col("batch_id") == batch_id)
-        return self._table(spark, "new", "slot int").where(mine).select(*self._names())
+        return self._table(spark, "new", ", slot int").where(mine).select(*self._names())
 
     def fold(self, spark: SparkSession, before: int) -> None:
         """Merge what batches before `before` have changed into the days they touched."""
-        touched = self._fresh(spark, before, None).select(self._day().alias("day")).distinct()
-        rows = self._rows(spark, before).withColumn("day", self._day()).join(touched, "day", "left_semi")
+        touched = self._fresh(spark, before, None).select("day").distinct()
+        rows = self._rows(spark, before).join(touched, "day", "left_semi")
         upto = F.lit(before - 1).cast("bigint")
         self._overwrite(
             self._merge(rows).withColumns({"batch_id": upto, "day": self._day()}), "folded", "day"
@@ -82,18 +85,19 @@ class KeyedTable:
         return parts[0].unionByName(parts[1])
 
     def _folded(self, spark: SparkSession, days: Column | None) -> DataFrame:
-        rows = self._table(spark, "folded", "day string")
+        rows = self._table(spark, "folded")
         if self.partition:  # in place of the stored column, so that conditions open few folders
             rows = rows.withColumn(self.partition, F.col("day"))
-        return (rows if days is None else rows.where(days)).drop("day")
+        return rows if days is None else rows.where(days)
 
     def _fresh(self, spark: SparkSession, before: int | None, days: Column | None) -> DataFrame:
-        rows = self._table(spark, "new", "slot int").withColumn("day", self._day())
+        rows = self._table(spark, "new", ", slot int")
         if before is not None:  # batch `before` may be about to replace its slot
             rows = rows.where((F.col("slot") != before % SLOTS) & (F.col("batch_id") < before))
         rows = rows if days is None else rows.where(days)
-        upto = self._folded(spark, days).groupBy(self._day().alias("day")).agg(F.max("batch_id").alias("upto"))
-        return rows.join(upto, "day", "left").where("upto IS NULL OR batch_id > upto").drop("day", "upto", "slot")
+        upto = self._folded(spark, days).groupBy("day").agg(F.max("batch_id").alias("upto"))
+        fresh = rows.join(upto, "day", "left").where("upto IS NULL OR batch_id > upto")
+        return fresh.select(*self._names(), "batch_id", "day")
 
     def _merge(self, rows: DataFrame) -> DataFrame:
         if self.rule == ADD:
@@ -108,9 +112,9 @@ class KeyedTable:
     def _names(self) -> list[str]:
         return [part.split()[0] for part in self.columns.split(",")]
 
-    def _table(self, spark: SparkSession, name: str, by: str) -> DataFrame:
+    def _table(self, spark: SparkSession, name: str, more: str = "") -> DataFrame:
         path = ensured(spark, f"{self.path}/{name}")
-        return spark.read.schema(f"{self.columns}, batch_id bigint, {by}").parquet(path)
+        return spark.read.schema(f"{self.columns}, batch_id bigint, day string{more}").parquet(path)
 
     def _overwrite(self, rows: DataFrame, name: str, by: str) -> None:
         # Rebalancing makes files of an even size, also when one day holds most rows.
