@@ -9,6 +9,7 @@ from __future__ import annotations
 import os
 import sys
 from collections.abc import Callable
+from importlib.util import find_spec
 from uuid import uuid4
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -32,10 +33,11 @@ from clickloom.streaming import ads as live
 from clickloom.streaming.tables import TOP3, AdTables
 from oracle.statements import STATEMENTS
 
-try:
+# Both are optional; where they are there, an import that fails in them is an error.
+if find_spec("clickloom.llm") and find_spec("corpus_pipeline"):
     import corpus_pipeline
     from clickloom.llm import queries as llm
-except ImportError:  # both are optional
+else:
     corpus_pipeline = llm = None
 
 Query = Callable[[SparkSession, str], DataFrame]

@@ -57,8 +57,10 @@ def test_start_page_views(actions):
     assert funnel.start_page_views(visits(actions, [5, 5, 1], [5]), "5,1").first()[0] == 3
 
 
-@pytest.mark.parametrize("seconds", [1, 60, 3600, 86400 * 365])
-def test_slices_do_not_change_pairs(spark, seconds):
+@pytest.mark.parametrize("seconds, hot_rows", [
+    (1, 0), (60, 0), (3600, 0), (86400 * 365, 0), (1, 50), (1, 100_000),
+])
+def test_slices_do_not_change_pairs(spark, seconds, hot_rows):
     rng = random.Random(7)
     hot = [("hot", rng.randrange(4), rng.randrange(20000), i) for i in range(400)]
     rest = [(f"g{i % 40}", rng.randrange(4), rng.randrange(20000), 1000 + i) for i in range(400)]
@@ -72,25 +74,26 @@ def test_slices_do_not_change_pairs(spark, seconds):
     for members in groups.values():
         pages = [m[2] for m in sorted(members)]
         want.update(zip(pages, pages[1:]))
-    got = successor_pairs(frame, "g", "page", ["ts", "id"], "ts", seconds)
+    got = successor_pairs(frame, "g", "page", ["ts", "id"], "ts", seconds, hot_rows=hot_rows)
     assert Counter(tuple(r) for r in got.collect()) == want
 
 
-@pytest.mark.parametrize("seconds", [1, 100, 299])
-def test_slices_do_not_change_gap_sessions(spark, seconds):
+@pytest.mark.parametrize("seconds, hot_rows", [(1, 0), (100, 0), (299, 0), (1, 50), (1, 100_000)])
+def test_slices_do_not_change_gap_sessions(spark, seconds, hot_rows):
     rng = random.Random(11)
     rows = [("hot" if i % 2 else f"g{i % 30}", rng.randrange(90000), i) for i in range(600)]
-    frame = spark.createDataFrame(rows, "g string, at int, id int").select(
+    timeless = [(g, None, 600 + i) for i, g in enumerate(["hot", "hot", "g2", "g2", "none", "none"])]
+    frame = spark.createDataFrame(rows + timeless, "g string, at int, id int").select(
         "g", F.timestamp_seconds("at").alias("ts"), "id")
     want = {}
     groups = {}
-    for g, at, i in rows:
-        groups.setdefault(g, []).append((at, i))
+    for g, at, i in rows + timeless:
+        groups.setdefault(g, []).append((-1_000 if at is None else at, i))
     for members in groups.values():
         number, last = 0, None
         for at, i in sorted(members):
             number += last is None or at - last >= 300
             want[i], last = number, at
-    got = gap_sessions(frame, "g", "ts", 300, seconds)
+    got = gap_sessions(frame, "g", "ts", 300, seconds, hot_rows=hot_rows)
     assert {r.id: r.session_no for r in got.collect()} == want
     assert set(got.columns) == {"g", "ts", "id", "session_no"}

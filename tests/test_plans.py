@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as registered
 from clickloom.operators import categories, joins, sampling, sessions
+from clickloom.operators.ordered import successor_pairs
 from clickloom.sources import retail
 from clickloom.sources.tables import clicks_between, read_actions
 
@@ -118,9 +119,17 @@ def test_ranks_are_cut_before_the_shuffle(spark):
         registered.queries()["top10_category"](spark, SF))
 
 
-def test_both_uses_of_the_sliced_window_share_one_shuffle(spark):
+def test_page_order_without_hot_sessions_is_one_window(spark):
     plan = executed(registered.queries()["page_pair_counts"](spark, SF))
-    assert plan.count("FileScan") == 1 and "ReusedExchange" in plan
+    assert plan.count("FileScan") == 1 and plan.count("+- Window") == 1
+
+
+def test_uses_of_the_sliced_window_share_one_shuffle(spark):
+    acts = hot_actions(spark).withColumn("ts", F.timestamp_seconds(F.col("order_category_ids").cast("long")))
+    acts = acts.withColumn("id", F.col("order_category_ids").cast("long"))
+    pairs = successor_pairs(acts, "session_id", "click_category_id", ["ts", "id"], "ts", hot_rows=10_000)
+    plan = executed(pairs.groupBy("next_value").count())
+    assert plan.count("ReusedExchange") >= 2 and pairs.count() == 60_000 - acts.select("session_id").distinct().count()
 
 
 def test_quota_and_sample_share_the_session_rollup(spark):
