@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+import time
 import zlib
 from collections import Counter
 
@@ -200,6 +201,60 @@ def test_literals_are_propagated_through_all_names(text, literals):
     assert [text[s:e] for k, s, e, _ in spans(text) if k == "literal"] == literals
 
 
+SECRET, OTHER = "a8Fj29dkLQm2", "b7Gk38elMRn3"
+
+
+@pytest.mark.parametrize("text, literals", [
+    (f'password = """{SECRET}"""', [SECRET]), (f"password = '''\n{SECRET}'''", ["\n" + SECRET]),
+    (f"password = \\\n    '{SECRET}'", [SECRET]), (f"password =\n    '{SECRET}'", [SECRET]),
+    (f'"password":\n  "{SECRET}"', [SECRET]),
+    (f"password = ('{SECRET[:6]}'\n  '{SECRET[6:]}')", [SECRET[:6], SECRET[6:]]),
+    (f"password = '{SECRET[:6]}' \\\n  '{SECRET[6:]}'", [SECRET[:6], SECRET[6:]]),
+    (f"password = '{SECRET[:6]}' +\n  '{SECRET[6:]}'", [SECRET[:6], SECRET[6:]]),
+    (f"passwords = ['x']\ntoken = ['{SECRET}', '{OTHER}']", [SECRET, OTHER]),
+    (f"a:\n  password: |\n    {SECRET}\n  colour: {OTHER}", [SECRET]),
+    (f"- password: >-\n    {SECRET[:6]}\n    {SECRET[6:]}\n- x: {OTHER}", [SECRET[:6], SECRET[6:]]),
+    (f'os.environ.setdefault("DB_PASSWORD", "{SECRET}")', [SECRET]),
+    (f"define('SECRET_KEY', '{SECRET}');", [SECRET]), (f"setdefault('colour', '{SECRET}')", []),
+    (f'<property name="db.password" value="{SECRET}"/>', [SECRET]),
+    (f'user, password = "{OTHER}", "{SECRET}"', [SECRET]),
+    (f'user, password = "{OTHER}", read()\nx = password', []),
+    (f'password, x = "{SECRET}", read()', [SECRET]), (f'let user, password = "{SECRET}";', [SECRET]),
+    (f'call(\n    user, password="{SECRET}",\n)', [SECRET]), (f'x, password="{SECRET}", b=1', [SECRET]),
+    (f"k = '{SECRET}'\npassword = f\"{{k}}\"", [SECRET]),
+    (f"k = '{SECRET}'\npassword = f'{OTHER}-{{k}}'", [SECRET, OTHER + "-"]),
+    (f"k = '{SECRET}'\npassword = '{{k}}'", []), (f"k = '{SECRET}'\npassword = '${{k}}'", []),
+    (f"k={SECRET}\nPASSWORD=${{k}}", [SECRET]), (f"k={SECRET}\nPASSWORD=$k", [SECRET]),
+    (f'k={SECRET}\nPASSWORD="$k"', [SECRET]), (f"$k = '{SECRET}';\n$password = \"${{k}}\";", [SECRET]),
+    (f"PASSWORD=${{FROM_ENV:-{SECRET}}}", [SECRET]), ("PASSWORD=$k", []),
+    (f"<password>{SECRET}</password>", [SECRET]), (f"<db.password id='1'>\n {SECRET}\n</db.password>", [SECRET]),
+    (f"<colour>{SECRET}</colour>", []),
+    (f'password = "{SECRET[:6]}"\npassword += "{SECRET[6:]}"', [SECRET[:6], SECRET[6:]]),
+    (f'char password[] = "{SECRET}";', [SECRET]),
+    ("char password[] = {" + ", ".join(f"'{c}'" for c in SECRET) + "};", [*SECRET]),
+    (f'password: str = "{SECRET}"', [SECRET]),
+    (f"k = '{SECRET}'\n# k = 'x'\npassword = k", [SECRET]), (f"# password = '{SECRET}'", [SECRET]),
+    ('class Secret:\n    """Words on what this class is about, a few."""', []),
+])
+def test_forms_of_assignments(text, literals):
+    assert sorted(text[s:e] for k, s, e, _ in spans(text) if k == "literal") == sorted(literals)
+
+
+@pytest.mark.parametrize("text", [
+    "a=(\"x\",\n" * 30_000, "a: |\n" + "".join(" " * (i % 50 + 1) + "b: |\n" for i in range(30_000)),
+    'password="""' * 20_000, "x='''a\"\"\"" * 20_000, "(\"a\"," * 50_000, "<a>" * 50_000 + "</a>",
+    "a, " * 50_000 + "x=1," * 50_000, "a = $b" + "${b}" * 50_000, "k = f'{k}{k}'\n" * 3_000,
+    "password = \\\n" * 30_000, "a='x'+\n" * 30_000, "a = ['b=[', " * 30_000, "a<" * 100_000,
+    "a = 1" + " " * 200_000 + "+", "password=\"$a{" * 30_000, "(" + " " * 100_000 + "'a'", "a: b" * 50_000,
+    "a['" * 50_000 + "=", "name=" * 50_000, "a " * 100_000 + "=", "<a " * 50_000, "a:b" * 50_000 + " =",
+    "a." * 100_000 + "=", "=" * 100_000, "a='\\\n" * 30_000, "a=b+\n" * 30_000 + "c", "a:" + " " * 100_000 + "b",
+])
+def test_time_grows_with_the_length_of_a_text(text):
+    began = time.process_time()
+    spans(text)
+    assert time.process_time() - began < 5
+
+
 def test_the_score_of_joined_values_is_that_of_their_text():
     rng = random.Random(6)
     pool = ["a", "x", "X", "xx", "$", "{", "<", ">", "a b", "%", "(", "*", "**", "", "change", "me", "_", "no", "ne1",
