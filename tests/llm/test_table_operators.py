@@ -9,7 +9,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
-from conftest import TESTDATA
+from conftest import TESTDATA, rows_of
 from llm.edges import clashing, documents, own_values, texts
 from pyspark.sql import functions as F
 
@@ -60,6 +60,35 @@ def test_mix_takes_prefixes_of_seeded_epochs(spark, monkeypatch, bucket_rows):
     assert got == want
 
 
+def test_budgets_of_many_leaves_are_those_of_few(spark):
+    rng = random.Random(12)
+    for case in range(6):
+        names = [None, "a", "b", "c", "é", *(f"n{i}" for i in range(20))][: rng.choice([3, 9, 25])]
+        supply = {(rng.choice(names), rng.choice(names), rng.choice(names)): rng.choice([1, 7, 500, 10**6])
+                  for _ in range(rng.choice([1, 30, 300]))}
+        weights = {"x": {n: rng.choice([0, 0, 0.1, 0.3, 1e-9, 2]) for n in names[::2]},
+                   "z": {n: rng.choice([0, 0.7, 0.1]) for n in names}}
+        epochs = rng.choice([1, 3])
+        total = int(sum(supply.values()) * rng.choice([0, 0.01, 0.4, 0.97, 1, 2, 5]))
+        want = mixing.budgets(supply, total, ["x", "y", "z"], weights, epochs)
+        frame = spark.createDataFrame([(*k, n) for k, n in supply.items()], "x string, y string, z string, n bigint")
+        leaves = frame.select(F.to_json(F.array("x", "y", "z")).alias("_leaf"), F.col("n").alias("_supply"))
+        got = mixing.budget_table(leaves, total, ["x", "y", "z"], weights, epochs)
+        rows = got.withColumn("path", F.from_json("_leaf", "array<string>")).collect()
+        assert {tuple(r.path): r._budget for r in rows} == want
+
+
+def test_mix_of_many_leaves_is_that_of_few(spark, monkeypatch):
+    want = rows_of(registered.op4_mixing(spark, SF))
+    monkeypatch.setattr(mixing, "MAX_LEAVES", 0)
+    assert rows_of(registered.op4_mixing(spark, SF)) == want
+    docs = clashing(documents(spark))
+    levels = {"lang": F.col("lang"), "source": F.col("source")}
+    twice = mixing.mix(docs, levels, {}, 2.0, mixing.words("text"), max_epochs=2)
+    assert twice.count() == 2 * len(texts())
+    assert mixing.mix(docs.limit(0), levels, {}, 1.0, mixing.words("text")).count() == 0
+
+
 def test_mix_of_edge_rows(spark):
     docs = clashing(documents(spark))
     levels = {"lang": F.col("lang"), "source": F.col("source")}
