@@ -221,8 +221,8 @@ def _by_leaf(rows: DataFrame, takes: DataFrame, few: bool) -> DataFrame:
     """Rows with what is taken of their leaf. A leaf may hold most rows: many leaves meet them by salt as well."""
     if few:  # a row for each leaf, at most MAX_LEAVES
         return rows.join(F.broadcast(takes), "_leaf")
-    salted = rows.withColumn("_salt", F.pmod(F.xxhash64("_id"), F.lit(SALTS)))
-    repeated = takes.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).cast("bigint"))
+    salted = rows.withColumn("_salt", F.pmod(F.xxhash64("_id"), F.lit(SALTS)).cast("int"))
+    repeated = takes.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     return salted.join(repeated, ["_leaf", "_salt"]).drop("_salt")
 
 
