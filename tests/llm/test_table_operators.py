@@ -341,6 +341,8 @@ def test_best_chain_is_that_of_all_orders():
             gain = passages.GAIN * len(chain) - sum(
                 passages.GAP_COST * (x - u + y - v) for (u, v), (x, y) in zip(chain, chain[1:]))
             assert abs(gain - max(best)) < 1e-6
+        x, y = np.array(points).T
+        assert passages.has_chain(x, y) == bool(passages.chains_or_corner(x, y))
 
 
 def test_aligned_is_the_longest_common_subsequence():
