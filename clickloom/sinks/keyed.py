@@ -26,6 +26,8 @@ OVERWRITE = "overwrite"          # value = new value
 REPLACE_GROUP = "replace_group"  # all rows of the group go, the new ones come
 INSERT = "insert"                # a key that is there stays as it is
 SLOTS = 128
+# Rows take few bytes in Parquet, but many in a task that groups them: files of few rows let Spark deal them out.
+FILE_ROWS = 1 << 18
 
 
 @dataclass(frozen=True)
@@ -119,4 +121,5 @@ class KeyedTable:
     def _overwrite(self, rows: DataFrame, name: str, by: str) -> None:
         # Rebalancing makes files of an even size, also when one day holds most rows.
         writer = rows.hint("rebalance", by).write.mode("overwrite").partitionBy(by)
+        writer = writer.option("maxRecordsPerFile", FILE_ROWS)
         writer.option("partitionOverwriteMode", "dynamic").parquet(f"{self.path}/{name}")

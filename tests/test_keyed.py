@@ -105,6 +105,18 @@ def test_slots_are_used_again(spark, tmp_path, monkeypatch, rule):
     assert len(os.listdir(f"{tmp_path}/a/t/new")) <= 4 + 2
 
 
+def test_files_hold_few_rows(spark, tmp_path, monkeypatch):
+    """However small the rows are, many of them are dealt out to many tasks."""
+    monkeypatch.setattr(keyed, "FILE_ROWS", 100)
+    t = store(tmp_path, keyed.ADD)
+    many = spark.range(1000).select(F.lit("d1").alias("date"), "id", F.lit(1).cast("bigint").alias("n"))
+    t.write_batch(many, 0)
+    assert len(files_of(f"{tmp_path}/t/new")) >= 10
+    t.fold(spark, 1)
+    assert len(files_of(f"{tmp_path}/t/folded")) >= 10
+    assert t.read(spark).count() == 1000
+
+
 def test_insert_only(spark, tmp_path):
     t = KeyedTable(f"{tmp_path}/b", "userid bigint", ("userid",), keyed.INSERT)
     for batch_id, ids in enumerate([[1, 2], [2, 3], []]):
