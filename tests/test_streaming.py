@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from replay import replay
 
 from clickloom.operators import ads
+from clickloom.sinks.keyed import KeyedTable
 from clickloom.sources.adlog import file_lines, parse_ad_log
 from clickloom.streaming import ads as live
 from clickloom.streaming.tables import AdTables
@@ -152,6 +153,21 @@ def test_replayed_batch_changes_nothing(spark, tmp_path):
     assert state() == once
 
 
+def test_keys_of_a_batch_are_not_broadcast(spark, tmp_path, monkeypatch):
+    seen, read = [], KeyedTable.read
+
+    def spied(self, *args, only=None, **named):
+        found = read(self, *args, only=only, **named)
+        if only is not None:
+            seen.append(found._jdf.queryExecution().optimizedPlan().toString())
+        return found
+
+    monkeypatch.setattr(KeyedTable, "read", spied)
+    tables = AdTables(f"{tmp_path}/tables")
+    live.update_blacklist(parse_ad_log(feed(spark)), 0, tables, 8)
+    assert len(seen) == 1 and seen[0].count("LeftSemi") == seen[0].count("strategy=merge") > 0
+
+
 def test_late_line_is_counted_in_its_own_minute(spark, tmp_path):
     folder = f"{tmp_path}/feed"
     hour = 3600 * 1000
