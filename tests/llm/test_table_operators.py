@@ -408,6 +408,34 @@ def test_passages_of_frequent_lines_are_found(spark):
     assert all(class_of[a] == class_of[b] for a, b in links)
 
 
+@pytest.mark.parametrize("others,same", [(7, 1.0), (30, 1.0), (6, 0.9)])
+def test_passages_of_frequent_successions_are_linked(spark, others, same):
+    """Each two lines that follow each other in a passage are in other documents too, which are first and last."""
+    rng = random.Random(f"{others} {same}")
+    rows = []
+
+    def add(words):
+        rows.append((len(rows), " ".join(random_words(rng, 60) + words + random_words(rng, 60))))
+
+    for _ in range(20):
+        lines = [random_words(rng, 12) for _ in range(5)]
+        passage = sum(lines, [])
+        changed = passage.copy()
+        for i in range(6, 60, 12):  # in the middle of a line
+            changed[i] = passage[i] if same == 1 else "other"
+        add(passage)
+        add(changed)
+        for a, b in zip(lines, lines[1:]):
+            for _ in range(others):
+                add(a + b)
+    step = 2 + 4 * others
+    found = passages.repeated_passages(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    class_of = {r.doc_id: r.class_id for r in found}
+    assert [class_of.get(k * step) for k in range(20)] == [k * step for k in range(20)]
+    assert all(class_of.get(k * step + 1) == k * step for k in range(20))
+    assert len(class_of) == 40
+
+
 def test_equal_texts_are_one_class(spark):
     line = "one two three four five six seven eight nine ten"
     rows = [(i, " ".join([line] * 12)) for i in (4, 2, 9)] + [(5, " ".join([line] * 4)), (6, " ".join([line] * 4))]
