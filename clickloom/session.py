@@ -25,8 +25,6 @@ def build_session(app: str, **settings: str) -> SparkSession:
         "spark.sql.adaptive.skewJoin.enabled": "true",
         # No call-site capture for every column expression: plans are built faster.
         "spark.python.sql.dataFrameDebugging.enabled": "false",
-        "spark.sql.streaming.stateStore.providerClass":
-            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     }
     for key, value in {**defaults, **settings}.items():
         builder = builder.config(key, value)

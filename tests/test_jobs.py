@@ -89,6 +89,19 @@ def test_command_line_ad_job(spark, tmp_path):
     assert rows_of(found.top3.read(spark)) == [("20200501", "1", 9, 3)]
 
 
+def test_jobs_leave_the_state_store_of_a_session(spark):
+    """Only the stream with state chooses one, for itself."""
+    from clickloom.session import build_session
+    from clickloom.streaming.ads import STATE_STORE
+
+    before = spark.conf.get(STATE_STORE)
+    spark.conf.set(STATE_STORE, "a.store.of.its.own")
+    try:
+        assert build_session("tests").conf.get(STATE_STORE) == "a.store.of.its.own"
+    finally:
+        spark.conf.set(STATE_STORE, before)
+
+
 def test_catalog_tables(spark, folders):
     frame = spark.read.parquet(f"{folders}/users")
     for _ in range(2):
