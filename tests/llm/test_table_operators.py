@@ -8,13 +8,14 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from conftest import TESTDATA, rows_of
 from llm.edges import clashing, documents, own_values, texts
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from clickloom.llm import exact, mixing, passages, repeats, shards, simhash, topk
+from clickloom.llm import exact, frames, mixing, passages, repeats, shards, simhash, topk
 from clickloom.llm import queries as registered
 from clickloom.llm.components import components
 
@@ -485,6 +486,78 @@ def test_seeds_are_the_least_of_their_windows():
             assert all(got.intersection(range(i, i + window)) for i in range(len(kmers) - window + 1))
 
 
+def test_seeds_of_many_texts_are_sought_at_once(monkeypatch):
+    rng = random.Random(9)
+    texts = [" ".join("w%d" % rng.randrange(rng.choice((3, 10**6))) for _ in range(rng.randrange(30, 140)))
+             for _ in range(frames.SLICE_ROWS - 4)] + ["", None, text_of_one_line(60), text_of_one_line(200)]
+    want = []
+    for doc, text in enumerate(texts):
+        names, at, far = passages.seeds(passages.split(text))
+        ahead = names[far].tolist()
+        pair = [int(passages.joined(*names[far][k : k + 2].reshape(2, 1))[0]) for k in range(len(ahead) - 1)] + ahead[-1:]
+        pairs, seen = iter(pair), set()
+        for name, place, is_far in zip(names.tolist(), at.tolist(), far.tolist()):
+            kinds = [(passages.SEED, name)] + ([(passages.PAIR, next(pairs))] if is_far else [])
+            lead = sum(mark for mark, kind in kinds if (mark, kind) not in seen)
+            seen.update(kinds)
+            want.append((doc, name, place, lead, kinds[1][1] if is_far else None))
+    calls = []
+    monkeypatch.setattr(passages, "least_in", lambda *args: calls.append(1) or repeats.least_in(*args))
+    batch = pa.record_batch({"doc": pa.array(range(len(texts)), pa.int64()), "text": pa.array(texts)})
+    for size in (1 << 20, 1000):
+        monkeypatch.setattr(passages, "SEED_BYTES", size)
+        rows = [tuple(r.values()) for b in passages._seed_batches(iter([batch])) for r in b.to_pylist()]
+        assert [
+            (d, s % 2**64, a, m, None if p is None else p % 2**64) for d, s, a, m, p in rows] == want
+        assert size < 1 << 20 or len(calls) == 4
+
+
+def text_of_one_line(n):
+    return " ".join(["one two three"] * n)
+
+
+def test_runs_are_those_of_each_place(spark):
+    """Runs of seeds, without a frame for each row: its places, and no window in the plan."""
+    rng = random.Random(10)
+    rows = []
+    for doc in range(60):
+        at = 0
+        for seed in [rng.randrange(4)] * 40 if doc < 5 else [rng.randrange(3) for _ in range(rng.randrange(1, 60))]:
+            at += rng.randrange(1, 3) if doc % 2 else rng.randrange(1, 12)
+            rows += [(seed, doc, doc // 2, at)] * rng.choice((1, 1, 2))
+    places = defaultdict(set)
+    for seed, doc, _, at in rows:
+        places[doc].add((at, seed))
+    want = {}
+    for doc, held in places.items():
+        for at, _ in sorted(held):
+            run = tuple(sorted((a - at, s) for a, s in held if at <= a < at + passages.RUN_KMERS))
+            if run[-1][0] > passages.RUN_KMERS - 1 - passages.WINDOW:
+                want.setdefault((run, doc), (doc // 2, at, run[-1][0]))
+    found = passages._runs(spark.createDataFrame(rows, "seed bigint, doc bigint, class bigint, at int"))
+    assert "Window" not in found._jdf.queryExecution().toString()
+    got = found.collect()
+    assert len(want) > 200
+    assert Counter((r.doc, r["class"], r.at, r.far) for r in got) == Counter((d, *v) for (_, d), v in want.items())
+    groups, plain = defaultdict(set), defaultdict(set)
+    for r in got:
+        groups[r.run].add((r.doc, r.at))
+    for (run, doc), (_, at, _) in want.items():
+        plain[run].add((doc, at))
+    assert sorted(map(sorted, groups.values())) == sorted(map(sorted, plain.values()))
+
+
+@pytest.mark.parametrize("kinds", [2, 5, 40])
+def test_short_stretches_are_paired_as_long_ones(monkeypatch, kinds):
+    rng = random.Random(kinds)
+    for _ in range(200):
+        a, b = ([b"%d" % rng.randrange(kinds) for _ in range(rng.randrange(1, 17))] for _ in range(2))
+        monkeypatch.setattr(passages, "SHORT", 16)
+        short = passages._banded(a, b)
+        monkeypatch.setattr(passages, "SHORT", 0)
+        assert short == passages._banded(a, b)
+
+
 def planted(rng, gap):
     """Two texts of random words with two exact passages of 60 words, `gap` other words between."""
     first, second = ([b"w%d" % rng.randrange(10**6) for _ in range(60)] for _ in range(2))
