@@ -16,6 +16,7 @@ import codecs
 import re
 from array import array
 from functools import lru_cache
+from sys import getsizeof
 
 import ahocorasick
 import numpy as np
@@ -31,8 +32,9 @@ SPACE = "▁"
 NORMAL, UNKNOWN, CONTROL, USER_DEFINED, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 BPE = 2
 # Words seen before are not encoded again. These bound the memory of a worker: two generations of
-# words are held, and the older one goes when the newer one is full.
-MAX_WORDS, MAX_WORD_LENGTH, MAX_PAIRS = 400_000, 64, 1_000_000
+# words are held, and the older one goes when the newer one takes so many bytes.
+MAX_HELD, MAX_WORD_LENGTH, MAX_PAIRS = 24_000_000, 64, 300_000
+ENTRY = 56  # bytes of a word's place in a dict, beside word and ids
 
 codecs.register_error("each_byte", lambda e: ("�" * (e.end - e.start), e.end))
 
@@ -118,6 +120,7 @@ class PieceModel(PieceDecoder):
         self.pairs: dict[int, bool] = {}
         self.words: dict[str, bytes] = {}
         self.old_words: dict[str, bytes] = {}
+        self.held = 0
         known = {c for piece in self.rank for c in piece}
         # Pieces that merging never makes of their own characters can't occur at all.
         units = known | {p for p in self.rank if self.merge(p) == [p]}
@@ -211,9 +214,10 @@ class PieceModel(PieceDecoder):
             else:
                 found = self._pack(spaced)
         if len(word) <= MAX_WORD_LENGTH:
-            if len(self.words) >= MAX_WORDS:
-                self.old_words, self.words = self.words, {}
+            if self.held >= MAX_HELD:
+                self.old_words, self.words, self.held = self.words, {}, 0
             self.words[word] = found
+            self.held += getsizeof(word) + getsizeof(found) + ENTRY
         return found
 
     def encode(self, text: str) -> np.ndarray:

@@ -5,21 +5,25 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+import sys
 import time
 import zlib
 from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import sentencepiece
 from conftest import TESTDATA, rows_of
 from llm.edges import clashing, documents, texts
 from oracle_check import connect, difference
+from pyspark.sql import types as T
 
 from clickloom.llm import quality, secrets
 from clickloom.llm import queries as registered
 from clickloom.llm.exact import exact_dedup, exact_groups
+from clickloom.llm.frames import with_column_of
 from clickloom.llm.pieces import PieceModel, decode_pieces, encode_pieces, read_model
 from clickloom.llm.quality import features, fit, learn, with_score
 from clickloom.llm.secrets import KINDS, find_secrets, spans
@@ -61,6 +65,23 @@ def test_encoding_of_edge_rows(spark, library):
     assert encode_pieces(docs.limit(0), model).count() == 0
 
 
+def test_words_seen_before_are_bounded_by_their_bytes():
+    model, rng = PieceModel(read_model(MODEL)), random.Random(3)
+    letters = [c for c in sorted(model.known) if c > "\u4e00"][:12]
+    for _ in range(120):
+        model.encode(" ".join("".join(rng.choices(letters, k=60)) for _ in range(1000)))
+        seen = [model.words, model.old_words]
+        assert sum(sys.getsizeof(w) + sys.getsizeof(i) for d in seen for w, i in d.items()) < 50_000_000
+    assert model.old_words  # more words came than one generation holds
+
+
+def test_whole_texts_go_to_python_few_at_a_time(spark):
+    docs = spark.range(3000, numPartitions=1).selectExpr("id", "CAST(id AS string) AS text")
+    at = with_column_of(docs, "text", "at", T.LongType(), lambda a: pa.array([a.offset] * len(a), pa.int64()))
+    rows = at.collect()
+    assert [r.id for r in rows] == list(range(3000)) and max(r.at for r in rows) < 512
+
+
 def test_query_of_pieces_on_whole_table(spark, library):
     rows = spark.read.parquet(f"{SF}/documents.parquet").collect()
     want = []
